@@ -59,6 +59,7 @@ def prices_gate(prices: DataFrame) -> DataFrame:
                 ("null_close_price", "null close_price found"),
                 ("duplicate_rows", "duplicate rows found"),
                 ("non_positive_close_price", "non-positive close_price found"),
+                dash="-",
             )
         ),
     )
@@ -153,12 +154,12 @@ def var_gate(var: DataFrame) -> DataFrame:
         ("null_notional", "null notional found"),
         ("var_97_5_less_than_95", "var_97_5 less than var_95"),
         ("var_99_less_than_97_5", "var_99 less than var_97_5"),
-        ("es_less_than_var", "ES less than VaR at the same level"),
+        ("es_less_than_var", "ES less than VaR at same confidence level"),
         ("tenday_less_than_oneday", "10-day VaR less than 1-day VaR"),
         ("non_positive_var_95", "non-positive var_95"),
         ("non_positive_es", "non-positive ES"),
     )
-    rules.append(("WARN: fewer than 200 scenarios used", F.col("low_scenario_count") > 0))
+    rules.append(("WARN \u2014 fewer than 200 scenarios used", F.col("low_scenario_count") > 0))
     return profile.withColumn("quality_status", verdict(rules))
 
 

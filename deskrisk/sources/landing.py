@@ -123,14 +123,17 @@ def evolve_append(df: DataFrame, table_path: str) -> DataFrame:
 
 
 def write_landing(df: DataFrame, folder: str, date_col: str) -> None:
-    """Write CSV below ``year=/month=/day=`` folders, replacing only the days in ``df``."""
+    """Write CSV below ``year=/month=/day=`` folders, replacing only the days in ``df``.
+
+    ``date_col`` is the run day; it names the folder and is not part of the file.
+    """
     dated = df.withColumns(
         {
             "year": F.date_format(date_col, "yyyy"),
             "month": F.date_format(date_col, "MM"),
             "day": F.date_format(date_col, "dd"),
         }
-    )
+    ).drop(date_col)
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

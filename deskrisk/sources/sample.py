@@ -15,23 +15,22 @@ from pyspark.sql import functions as F
 
 from deskrisk.functions import normalise_ticker
 from deskrisk.plans.silver import positions_enriched, prices_cleaned
+from deskrisk.sources.schemas import SEEDS
 
 RUN_DATE = "2001-12-31"
 
 # Fixed values of the sample.
-FX_RATES = (("USD", 1.0), ("EUR", 1.1), ("GBP", 1.25), ("JPY", 0.0067), ("AUD", 0.65))
-LIMITS = (
-    ("FX Desk", 0.028, "2001-01-01"), ("FX Desk", 0.5, "1999-01-01"),
-    ("Equity Desk", 0.043, "2001-01-01"), ("Equity Desk", 0.01, "1999-01-01"),
-    ("Rates Desk", 0.080, "2001-01-01"), ("Credit Desk", 0.042, "2001-01-01"),
-    ("Macro Desk", 0.025, "2001-01-01"),
-)
-SCENARIOS = (
-    ("Crash", "Equity", -0.35, None, "REGULATORY", True), ("Crash", "FX", -0.12, None, "REGULATORY", True),
-    ("Crash", "Rates", None, 250.0, "REGULATORY", True), ("Crash", "Credit", None, 450.0, "REGULATORY", True),
-    ("Rates Up", "Rates", None, 200.0, "REGULATORY", False), ("Rates Up", "Credit", None, 50.0, "REGULATORY", False),
-    ("Equity Only", "Equity", -0.25, None, "MANAGEMENT", False),
-)
+FX_RATES = "VALUES ('USD', 1.0D), ('EUR', 1.1D), ('GBP', 1.25D), ('JPY', 0.0067D), ('AUD', 0.65D)"
+LIMITS = """VALUES
+  ('FX Desk', 0.028D, DATE '2001-01-01'), ('FX Desk', 0.5D, DATE '1999-01-01'),
+  ('Equity Desk', 0.043D, DATE '2001-01-01'), ('Equity Desk', 0.01D, DATE '1999-01-01'),
+  ('Rates Desk', 0.080D, DATE '2001-01-01'), ('Credit Desk', 0.042D, DATE '2001-01-01'),
+  ('Macro Desk', 0.025D, DATE '2001-01-01')"""
+SCENARIOS = """VALUES
+  ('Crash', 'Equity', -0.35D, NULL, 'REGULATORY', TRUE), ('Crash', 'FX', -0.12D, NULL, 'REGULATORY', TRUE),
+  ('Crash', 'Rates', NULL, 250D, 'REGULATORY', TRUE), ('Crash', 'Credit', NULL, 450D, 'REGULATORY', TRUE),
+  ('Rates Up', 'Rates', NULL, 200D, 'REGULATORY', FALSE), ('Rates Up', 'Credit', NULL, 50D, 'REGULATORY', FALSE),
+  ('Equity Only', 'Equity', -0.25D, NULL, 'MANAGEMENT', FALSE)"""
 DESKS = ("FX Desk", "Equity Desk", "Rates Desk", "Credit Desk", "Macro Desk")
 
 
@@ -132,27 +131,21 @@ class Sample:
 
     @cached_property
     def fx_rates(self) -> DataFrame:
-        return self.spark.createDataFrame(list(FX_RATES), "currency string, rate_vs_usd double")
+        return self.spark.sql(FX_RATES).toDF("currency", "rate_vs_usd")
 
     @cached_property
     def desk_limits(self) -> DataFrame:
         """Limits as fractions of all line items' value."""
         total = self.table("lineitem").agg(F.sum("l_extendedprice").alias("total"))
-        shares = self.spark.createDataFrame(list(LIMITS), "desk string, fraction double, approved string")
+        shares = self.spark.sql(LIMITS).toDF("desk", "fraction", "approved_date")
         # One row: the total of a global aggregate.
         return shares.crossJoin(total).select(
-            "desk",
-            (F.col("fraction") * F.col("total")).alias("limit_usd"),
-            F.col("approved").cast("date").alias("approved_date"),
+            "desk", (F.col("fraction") * F.col("total")).alias("limit_usd"), "approved_date"
         )
 
     @cached_property
     def stress_scenarios(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(SCENARIOS),
-            "scenario_name string, asset_class string, shock_pct double, shock_bps double, "
-            "scenario_type string, is_stressed_var_proxy boolean",
-        )
+        return self.spark.sql(SCENARIOS).toDF(*SEEDS["stress_scenarios"].names)
 
     @cached_property
     def ticker_classifications(self) -> DataFrame:
