@@ -17,8 +17,13 @@ BASIS_POINT = 0.0001
 
 
 def normalise_ticker(raw: Column) -> Column:
-    """Vendor symbol to book symbol: drop a trailing ``=X``, dots become ``_``."""
-    return F.regexp_replace(F.regexp_replace(raw, "=X$", ""), "[.]", "_")
+    """Vendor symbol to book symbol: drop a trailing ``=X``, dots become ``_``.
+
+    A fixed suffix and a single character need no regular expression, which would
+    double the time of the scan it runs in.
+    """
+    bare = F.when(raw.endswith("=X"), raw.substr(F.lit(1), F.length(raw) - 2)).otherwise(raw)
+    return F.translate(bare, ".", "_")
 
 
 def direction_multiplier(direction: Column) -> Column:

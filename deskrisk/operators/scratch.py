@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Jobs submitted side by side; Spark shares the executors among them.
+PARALLEL = 4
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
@@ -35,3 +40,14 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     path = f"{scratch_dir(spark)}/deskrisk-{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(jobs: dict[str, Callable]) -> dict:
+    """Run independent jobs side by side and return their results by name.
+
+    Most jobs here end in a few small tasks; alone, each would leave the cluster idle.
+    The first failure is raised once all have ended.
+    """
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        started = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in started.items()}

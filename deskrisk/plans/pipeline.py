@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import functions as F
 
+from deskrisk.operators import together
 from deskrisk.operators.checks import (
     check_unique_combination,
     column_checks,
@@ -54,9 +54,6 @@ DOMAINS = {
 }
 SILVER_KEYS = {"prices_cleaned": ("ticker", "price_date"), "positions_enriched": ("trade_id",)}
 
-# Models that do not read each other run side by side, as their last stages are small.
-PARALLEL = 4
-
 
 def table_checks(lake: Lake, table: str, desks: tuple[str, ...]):
     """Declared NOT NULL columns, closed domains and the key of one table."""
@@ -129,9 +126,7 @@ def build_gold(lake: Lake, run_date: date) -> None:
         },
     ]
     for wave in waves:
-        with ThreadPoolExecutor(PARALLEL) as pool:
-            for done in [pool.submit(lambda t=t, m=m: lake.merge(t, m())) for t, m in wave.items()]:
-                done.result()
+        together({t: lambda t=t, m=m: lake.merge(t, m()) for t, m in wave.items()})
 
 
 def check_gold(lake: Lake, desks: tuple[str, ...]) -> None:

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.operators import settle
+from deskrisk.operators import settle, together
 from deskrisk.plans.concentration import concentration_risk
 from deskrisk.plans.exposure import breach_episodes, exposure_monitor
 from deskrisk.plans.pnl import pnl_attribution, risk_adjusted_performance
@@ -45,7 +45,8 @@ class SampleGold:
 
     @cached_property
     def var_daily(self) -> DataFrame:
-        return var_daily(self._positions, self.prices, self.day)
+        self._share_silver()
+        return var_daily(self.positions, self.prices, self.day)
 
     @cached_property
     def pnl_attribution(self) -> DataFrame:
@@ -73,6 +74,7 @@ class SampleGold:
 
     @cached_property
     def stress_testing(self) -> DataFrame:
+        self._share_silver()
         return stress_testing(
             self.positions, self.sample.stress_scenarios, self.var_daily, self.sample.desk_limits, self.day
         )
@@ -88,34 +90,39 @@ class SampleGold:
 
     def _backtest(self, pnl: DataFrame) -> DataFrame:
         """VaR of the run date held against every day of ``pnl``."""
-        var = settle(self.var_daily.select("desk", "asset_class", "var_97_5_usd"), "var")
+        var = self.var_daily.select("desk", "asset_class", "var_97_5_usd")
         days = pnl.select("desk", F.col("pnl_date").alias("calculation_date"))
         return var_backtest(days.join(var, "desk"), pnl)
 
     @cached_property
     def var_backtest(self) -> DataFrame:
         self._share_silver()
-        return self._backtest(settle(self.sample.pnl_history(self.positions, self.prices), "pnl-history"))
+        history = self.sample.pnl_history(self.positions, self.prices)
+        return self._backtest(settle(history, "pnl-history"))
 
     @cached_property
     def risk_summary(self) -> DataFrame:
         self._share_silver()
-        today = settle(self.pnl_attribution, "pnl")
-        var = settle(self.var_daily, "var")
-        self.var_daily = var
-        history = self.sample.pnl_history(self.positions, self.prices)
-        days = settle(
-            history.unionByName(today.select("desk", "pnl_date", "actual_pnl_usd")), "pnl-history"
+        done = together(
+            {
+                "var": lambda: settle(self.var_daily, "var"),
+                "pnl": lambda: settle(self.pnl_attribution, "pnl"),
+                "history": lambda: settle(self.sample.pnl_history(self.positions, self.prices), "pnl-history"),
+                "concentration": lambda: self.concentration_risk,
+            }
         )
+        self.var_daily = done["var"]
+        today = done["pnl"]
+        days = done["history"].unionByName(today.select("desk", "pnl_date", "actual_pnl_usd"))
         return risk_summary(
-            var, self.exposure_monitor, today, self._backtest(days), self.stress_testing,
-            self.concentration_risk, self.day,
+            done["var"], self.exposure_monitor, today, self._backtest(days), self.stress_testing,
+            done["concentration"], self.day,
         )
 
     # ``_positions`` and ``_prices`` are the written copies once there are any.
 
     def _share_silver(self) -> None:
-        self.positions, self.prices  # noqa: B018  (writes them)
+        together({"positions": lambda: self.positions, "prices": lambda: self.prices})
 
     @property
     def _positions(self) -> DataFrame:

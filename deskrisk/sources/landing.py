@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from deskrisk.functions import normalise_ticker
 from deskrisk.operators.upsert import read_table
 
 # Fixed format of a dated landing folder.
@@ -145,12 +146,11 @@ def write_landing(df: DataFrame, folder: str, date_col: str) -> None:
 
 def landing_path(ticker: Column, run_date: Column) -> Column:
     """Relative path of a ticker's file for one day."""
-    name = F.replace(F.replace(ticker, F.lit("=X"), F.lit("")), F.lit("."), F.lit("_"))
     return F.concat(
         F.lit("year="), F.date_format(run_date, "yyyy"),
         F.lit("/month="), F.lpad(F.month(run_date).cast("string"), 2, "0"),
         F.lit("/day="), F.lpad(F.dayofmonth(run_date).cast("string"), 2, "0"),
-        F.lit("/"), name, F.lit(".csv"),
+        F.lit("/"), normalise_ticker(ticker), F.lit(".csv"),
     )
 
 
@@ -199,7 +199,7 @@ def fx_rates_from_prices(prices: DataFrame, run_date: Column) -> DataFrame:
     """
     if prices.isEmpty():
         raise EmptyLoadError("no prices to take FX rates from")
-    pair = F.regexp_replace(F.regexp_replace("ticker", "=X$", ""), "[.]", "_")
+    pair = normalise_ticker(F.col("ticker"))
     day = F.col("date").cast("date")
     newest = (
         prices.select(F.replace(pair, F.lit("USD"), F.lit("")).alias("currency"), day.alias("date"), "close")

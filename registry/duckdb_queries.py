@@ -92,8 +92,8 @@ SQL["read_seed"] = "SELECT ticker, sector, nullif(geography, 'UK') AS geography
 
 SQL["merge_upsert"] = SQL["merge_upsert_table"] = """
 SELECT desk, as_of_date,
-       round(CASE WHEN as_of_date >= DATE '2000-06-01' THEN gross_exposure_usd * 2 ELSE gross_exposure_usd END, 2) AS gross_exposure_usd,
-       round(CASE WHEN as_of_date >= DATE '2001-01-01' THEN limit_usd + 1 ELSE limit_usd END, 2) AS limit_usd
+       round(CASE WHEN as_of_date >= DATE '2000-06-01' THEN gross_exposure_usd * 2 ELSE gross_exposure_usd END, 6) AS gross_exposure_usd,
+       round(CASE WHEN as_of_date >= DATE '2001-01-01' THEN limit_usd + 1 ELSE limit_usd END, 6) AS limit_usd
 FROM exposure_history
 """
 

@@ -19,7 +19,9 @@ RATIOS = {
     "unexplained_pnl_pct", "var_as_pct_of_notional", "largest_counterparty_pct",
 }
 UNSUMMED = {"current_price", "fx_rate_vs_usd"} | RATIOS
-PLACES = {"fx_sensitivity": 6, "rates_credit_sensitivity": 6, "concentration_risk": 6}
+PLACES = dict.fromkeys(
+    ("fx_sensitivity", "rates_credit_sensitivity", "concentration_risk", "limit_breach_log"), 6
+)
 
 
 def places(table: str) -> dict[str, int]:

@@ -212,7 +212,7 @@ def _history_and_restatement(s: Sample) -> tuple[DataFrame, DataFrame]:
     return target, source
 
 
-_UPSERT_PLACES = {"gross_exposure_usd": 2, "limit_usd": 2}
+_UPSERT_PLACES = {"gross_exposure_usd": 6, "limit_usd": 6}
 
 
 @query
