@@ -53,7 +53,7 @@ def breach_log_step(log: DataFrame | None, exposure: DataFrame, run_date: Column
     Open episodes and today's breaches meet in one full outer join by desk: on both
     sides, the breach goes on; only open, it has ended; only today, it is new. The log
     counts the first day as one day and later days by date difference, so the second
-    day is also day one.
+    day is also day one. Repeating a day changes nothing.
     """
     day = run_date.cast("date")
     today = exposure.where((F.col("as_of_date") == day) & flag(F.col("breach_flag"))).select(
@@ -80,12 +80,16 @@ def breach_log_step(log: DataFrame | None, exposure: DataFrame, run_date: Column
     pair = log.where("is_active").join(today, F.col("desk") == F.col("_today"), "full_outer")
     is_new = F.col("desk").isNull()
     has_ended = F.col("_today").isNull()
+    length = F.datediff(day, "breach_start_date")
     higher = F.col("_used") >= F.col("peak_utilisation_pct")
     return pair.select(
         F.coalesce("desk", "_today").alias("desk"),
         F.coalesce("breach_start_date", day).alias("breach_start_date"),
         F.when(has_ended, day).alias("breach_end_date"),
-        F.when(is_new, 1).otherwise(F.datediff(day, "breach_start_date")).alias("breach_duration_days"),
+        F.when(is_new, 1)
+        .when(has_ended, length)
+        .otherwise(F.greatest(length, F.lit(1)))
+        .alias("breach_duration_days"),
         (~has_ended).alias("is_active"),
         F.when(has_ended, F.col("peak_utilisation_pct"))
         .otherwise(F.round(F.greatest("peak_utilisation_pct", "_used"), 4))

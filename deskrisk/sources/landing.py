@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from deskrisk.functions import normalise_ticker
-from deskrisk.operators.upsert import read_table
 
 # Fixed format of a dated landing folder.
 DATED_GLOB = "year=*/month=*/day=*/*.csv"
@@ -103,24 +102,32 @@ def evolve(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming, allowMissingColumns=True)
 
 
-def evolve_append(df: DataFrame, table_path: str) -> DataFrame:
+def evolve_append(df: DataFrame, table_path: str, known: StructType | None = None) -> DataFrame:
     """Append rows that may bring new columns and return the table as it now reads.
 
-    Parquet files each carry their own columns, so old files need no rewrite; the
-    merged column list is resolved when the table is read.
+    Parquet files each carry their own columns, so old files need no rewrite; a column
+    a file lacks reads as NULL. ``known`` is the table's column list so far; without
+    it, the list is put together from the footers of all files.
     """
     spark = df.sparkSession
-    existing = read_table(spark, table_path)
-    if existing is not None:
-        clash = [
-            f"{f.name}: {existing.schema[f.name].dataType.simpleString()} and {f.dataType.simpleString()}"
-            for f in df.schema
-            if f.name in existing.columns and existing.schema[f.name].dataType != f.dataType
-        ]
-        if clash:
-            raise ValueError("column types changed: " + "; ".join(clash))
+    if known is None:
+        try:
+            known = spark.read.option("mergeSchema", True).parquet(table_path).schema
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            known = df.schema
+    types = {f.name: f.dataType for f in known}
+    clash = [
+        f"{f.name}: {types[f.name].simpleString()} and {f.dataType.simpleString()}"
+        for f in df.schema
+        if types.get(f.name, f.dataType) != f.dataType
+    ]
+    if clash:
+        raise ValueError("column types changed: " + "; ".join(clash))
     append(df, table_path)
-    return spark.read.option("mergeSchema", True).parquet(table_path)
+    grown = StructType([*known, *[f for f in df.schema if f.name not in types]])
+    return spark.read.schema(grown).parquet(table_path)
 
 
 def write_landing(df: DataFrame, folder: str, date_col: str) -> None:

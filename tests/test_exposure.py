@@ -102,10 +102,11 @@ def test_stepping_equals_the_set_based_form(spark):
     assert rows(step_through(spark, exposure, 9)) == want and len(want) > 6
 
 
-def test_repeating_a_day_changes_nothing_but_the_first_days_length(spark):
+@pytest.mark.parametrize("days", [2, 3])
+def test_repeating_a_day_changes_nothing(spark, days):
     exposure = history(spark, {"D": [50.0, 101.0, 120.0]})
-    log = step_through(spark, exposure, 3)
-    again = breach_log_step(log, exposure, F.lit(FIRST + timedelta(days=2)))
+    log = step_through(spark, exposure, days)
+    again = breach_log_step(log, exposure, F.lit(FIRST + timedelta(days=days - 1)))
     assert rows(merge_frames(log, again, KEYS["limit_breach_log"], UPDATES["limit_breach_log"][:7])) == rows(log)
 
 

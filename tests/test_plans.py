@@ -1,0 +1,113 @@
+"""What the plans must look like to hold at scale."""
+
+import re
+
+import pytest
+
+from deskrisk.plans.concentration import exposure_cube
+from deskrisk.plans.exposure import exposure_monitor
+from deskrisk.plans.pnl import pnl_attribution
+from deskrisk.plans.sensitivity import fx_sensitivity, rates_credit_sensitivity
+from deskrisk.plans.silver import positions_enriched, prices_cleaned
+from deskrisk.plans.stress import stress_testing
+from deskrisk.plans.value_at_risk import daily_returns, var_daily
+from deskrisk.serving.reports import newest
+from deskrisk.sources.schemas import TABLES
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Empty stored tables: plans do not depend on rows."""
+    root = tmp_path_factory.mktemp("plans")
+
+    def table(name):
+        path = root / name
+        if not path.exists():
+            spark.createDataFrame([], TABLES[name]).write.parquet(str(path))
+        return spark.read.schema(TABLES[name]).parquet(str(path))
+
+    return table
+
+
+def scanned(text):
+    """Columns of each Parquet scan."""
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (?:hashpartitioning|SinglePartition|rangepartitioning)", text))
+
+
+def test_deduplication_limits_each_key_before_the_shuffle(stored, day):
+    for df in (
+        prices_cleaned(stored("market_prices")),
+        positions_enriched(stored("positions"), stored("fx_rates"), None, day),
+    ):
+        text = plan(df)
+        partial, shuffle = text.index("Partial"), text.index("hashpartitioning")
+        assert "WindowGroupLimit" in text and text.rindex("Partial") > shuffle > 0 and partial > 0
+
+
+def test_book_models_scan_once_and_shuffle_only_sums(stored, day):
+    for df, columns in (
+        (fx_sensitivity(stored("positions_enriched"), day), 8),
+        (rates_credit_sensitivity(stored("positions_enriched"), day), 7),
+    ):
+        text = plan(df)
+        (read,) = scanned(text)
+        assert len(read) == columns and exchanges(text) <= 2
+        assert "partial_sum" in text and "Join" not in text
+
+
+def test_exposure_reads_five_columns_of_the_book(stored, day):
+    text = plan(exposure_monitor(stored("positions_enriched"), stored("desk_limits"), day))
+    assert {"desk", "trade_id", "direction", "notional_usd", "net_exposure_usd"} in scanned(text)
+
+
+def test_trades_are_summed_before_they_meet_returns(stored, day):
+    positions, prices = stored("positions_enriched"), stored("prices_cleaned")
+    for df in (var_daily(positions, prices, day), pnl_attribution(positions, prices, day)):
+        text = plan(df)
+        join = text.index("Join")
+        book = text.index("trade_id")
+        assert "partial_sum" in text[join:] and book > 0 and "CartesianProduct" not in text
+        assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_history_before_the_lookback_is_only_aggregated(stored):
+    text = plan(daily_returns(stored("prices_cleaned")))
+    assert "partial_max_by" in text and "date_sub(Subquery" in text
+
+
+def test_cube_is_one_scan_of_the_book(stored):
+    text = plan(exposure_cube(stored("positions_enriched"), stored("ticker_classifications")))
+    books = [s for s in scanned(text) if "notional_usd" in s]
+    assert len(books) == 1 and "Expand" in text
+
+
+def test_stress_crosses_only_one_row(spark, stored, day):
+    text = plan(
+        stress_testing(
+            stored("positions_enriched"), stored("stress_scenarios"), stored("var_daily"), stored("desk_limits"), day
+        )
+    )
+    assert "CartesianProduct" not in text and text.count("BroadcastNestedLoopJoin") <= 1
+
+
+def test_newest_day_is_a_pushed_filter(stored):
+    text = plan(newest(stored("var_daily"), "calculation_date"))
+    assert re.search(r"calculation_date#\d+ = Subquery", text)
+
+
+def test_no_python_workers_and_no_collecting_aggregates():
+    """The data path stays in the JVM and gathers no group into one value."""
+    import pathlib
+
+    for source in pathlib.Path(__file__).parent.parent.joinpath("deskrisk").rglob("*.py"):
+        text = source.read_text()
+        for banned in ("pandas_udf", "applyIn", "mapIn", ".rdd", "collect_list", "collect_set", "toPandas", "localCheckpoint"):
+            assert banned not in text, (source.name, banned)
