@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from deskrisk.functions import band, flag
 from deskrisk.operators import latest_per_key
+from deskrisk.plans.book import trade_measures
 
 
 def latest_limits(limits: DataFrame) -> DataFrame:
@@ -24,12 +25,12 @@ def exposure_monitor(positions: DataFrame, limits: DataFrame, run_date: Column)
     than passing as a green light.
     """
     notional = F.col("notional_usd")
-    desks = positions.groupBy("desk").agg(
-        F.sum(F.abs(notional)).alias("gross_exposure_usd"),
+    desks = trade_measures(positions).groupBy("desk").agg(
+        F.sum("gross_usd").alias("gross_exposure_usd"),
         F.sum("net_exposure_usd").alias("net_exposure_usd"),
         F.sum(F.when(F.col("direction") == "LONG", notional).otherwise(0.0)).alias("long_exposure_usd"),
         F.sum(F.when(F.col("direction") == "SHORT", notional).otherwise(0.0)).alias("short_exposure_usd"),
-        F.count("trade_id").cast("int").alias("position_count"),
+        F.sum("trades").cast("int").alias("position_count"),
     )
     in_force = latest_limits(limits).select(F.upper("desk").alias("_desk"), "limit_usd")
     used = F.col("utilisation_pct")

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from deskrisk.operators import together
+from deskrisk.operators import settle, together
 from deskrisk.operators.checks import (
     check_unique_combination,
     column_checks,
@@ -15,6 +15,7 @@ from deskrisk.operators.checks import (
     stop_on_fail,
 )
 from deskrisk.plans import gates
+from deskrisk.plans.book import position_book
 from deskrisk.plans.concentration import concentration_risk
 from deskrisk.plans.exposure import breach_log_step, exposure_monitor
 from deskrisk.plans.pnl import pnl_attribution, risk_adjusted_performance
@@ -89,27 +90,35 @@ def check_silver(lake: Lake, desks: tuple[str, ...]) -> None:
 
 
 def build_gold(lake: Lake, run_date: date) -> None:
-    """Three waves; each merges its tables before the next one reads them."""
+    """Three waves; each merges its tables before the next one reads them.
+
+    The trades are read twice in all: once for the book, once for concentration, which
+    also groups by counterparty.
+    """
     day = F.lit(run_date)
     read = lake.read
+    book = settle(position_book(read("positions_enriched")), "book")
     waves: list[dict[str, Callable]] = [
         {
-            "var_daily": lambda: var_daily(read("positions_enriched"), read("prices_cleaned"), day),
-            "pnl_attribution": lambda: pnl_attribution(read("positions_enriched"), read("prices_cleaned"), day),
-            "exposure_monitor": lambda: exposure_monitor(read("positions_enriched"), read("desk_limits"), day),
-            "fx_sensitivity": lambda: fx_sensitivity(read("positions_enriched"), day),
+            "var_daily": lambda: var_daily(book, read("prices_cleaned"), day),
+            "pnl_attribution": lambda: pnl_attribution(book, read("prices_cleaned"), day),
+            "exposure_monitor": lambda: exposure_monitor(book, read("desk_limits"), day),
+            "fx_sensitivity": lambda: fx_sensitivity(book, day),
             "equity_sensitivity": lambda: equity_sensitivity(
-                read("positions_enriched"), read("ticker_classifications"), day
+                book, read("ticker_classifications"), day
             ),
-            "rates_credit_sensitivity": lambda: rates_credit_sensitivity(read("positions_enriched"), day),
+            "rates_credit_sensitivity": lambda: rates_credit_sensitivity(book, day),
             "concentration_risk": lambda: concentration_risk(
                 read("positions_enriched"), read("ticker_classifications"), day
             ),
         },
         {
-            "var_backtest": lambda: var_backtest(read("var_daily"), read("pnl_attribution")),
+            # The window looks back only, so no day before the run date can change.
+            "var_backtest": lambda: var_backtest(read("var_daily"), read("pnl_attribution")).where(
+                F.col("backtest_date") >= day
+            ),
             "stress_testing": lambda: stress_testing(
-                read("positions_enriched"), read("stress_scenarios"), read("var_daily"), read("desk_limits"), day
+                book, read("stress_scenarios"), read("var_daily"), read("desk_limits"), day
             ),
             "limit_breach_log": lambda: breach_log_step(
                 lake.find("limit_breach_log"), read("exposure_monitor"), day

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from deskrisk.functions import band, trade_noise
+from deskrisk.functions import band
+from deskrisk.plans.book import trade_measures
 from deskrisk.plans.value_at_risk import desk_var
 
 
@@ -35,18 +36,17 @@ def pnl_attribution(positions: DataFrame, prices: DataFrame, run_date: Column, n
 
     Trades whose ticker has no price are left out; a ticker with a single day counts
     with a return of zero. ``noise`` names the stand-in for what moves the actual P&L
-    besides the market (see ``trade_noise``). As in VaR, trades are summed per ticker
+    besides the market (see ``trade_noise``); a book already has it in its sums. As in VaR, trades are summed per ticker
     before the join: the noise belongs to the trade, but both sums are linear in the
     return.
     """
-    size = F.col("notional_usd") * F.col("direction_multiplier")
-    noisy = size * trade_noise(F.col("trade_id"), noise)
-    book = positions.groupBy("desk", "ticker").agg(
-        F.sum(size).alias("_hypothetical"),
+    noisy = F.col("noisy_usd")
+    book = trade_measures(positions, noise).groupBy("desk", "ticker").agg(
+        F.sum("signed_usd").alias("_hypothetical"),
         F.sum(noisy).alias("_actual"),
         F.sum(F.when(F.col("direction") == "LONG", noisy).otherwise(0.0)).alias("_long"),
         F.sum(F.when(F.col("direction") == "SHORT", noisy).otherwise(0.0)).alias("_short"),
-        F.count("trade_id").alias("_trades"),
+        F.sum("trades").alias("_trades"),
     )
     move = F.coalesce("daily_return", F.lit(0.0))
     return (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskrisk.operators import settle, together
+from deskrisk.plans.book import position_book
 from deskrisk.plans.concentration import concentration_risk
 from deskrisk.plans.exposure import breach_episodes, exposure_monitor
 from deskrisk.plans.pnl import pnl_attribution, risk_adjusted_performance
@@ -39,22 +40,27 @@ class SampleGold:
             self.sample.positions_unpriced.select(
                 "trade_id", "desk", "asset_class", "ticker", "counterparty", "direction", "currency",
                 "notional_usd", "net_exposure_usd", "direction_multiplier", "days_to_maturity", "trade_date",
+                "current_price", "latest_price_date", "fx_rate_vs_usd",
             ),
             "positions",
         )
 
+    @cached_property
+    def book(self) -> DataFrame:
+        return settle(position_book(self.positions, noise="md5"), "book")
+
     @cached_property
     def var_daily(self) -> DataFrame:
         self._share_silver()
-        return var_daily(self.positions, self.prices, self.day)
+        return var_daily(self._book, self.prices, self.day)
 
     @cached_property
     def pnl_attribution(self) -> DataFrame:
-        return pnl_attribution(self._positions, self._prices, self.day, noise="md5")
+        return pnl_attribution(self._book, self._prices, self.day, noise="md5")
 
     @cached_property
     def exposure_monitor(self) -> DataFrame:
-        return exposure_monitor(self._positions, self.sample.desk_limits, self.day)
+        return exposure_monitor(self._book, self.sample.desk_limits, self.day)
 
     @cached_property
     def fx_sensitivity(self) -> DataFrame:
@@ -76,7 +82,7 @@ class SampleGold:
     def stress_testing(self) -> DataFrame:
         self._share_silver()
         return stress_testing(
-            self.positions, self.sample.stress_scenarios, self.var_daily, self.sample.desk_limits, self.day
+            self._book, self.sample.stress_scenarios, self.var_daily, self.sample.desk_limits, self.day
         )
 
     @cached_property
@@ -97,17 +103,18 @@ class SampleGold:
     @cached_property
     def var_backtest(self) -> DataFrame:
         self._share_silver()
-        history = self.sample.pnl_history(self.positions, self.prices)
+        history = self.sample.pnl_history(self._book, self.prices)
         return self._backtest(settle(history, "pnl-history"))
 
     @cached_property
     def risk_summary(self) -> DataFrame:
         self._share_silver()
+        self.book  # noqa: B018  (writes it)
         done = together(
             {
                 "var": lambda: settle(self.var_daily, "var"),
                 "pnl": lambda: settle(self.pnl_attribution, "pnl"),
-                "history": lambda: settle(self.sample.pnl_history(self.positions, self.prices), "pnl-history"),
+                "history": lambda: settle(self.sample.pnl_history(self._book, self.prices), "pnl-history"),
                 "concentration": lambda: self.concentration_risk,
             }
         )
@@ -119,7 +126,7 @@ class SampleGold:
             done["concentration"], self.day,
         )
 
-    # ``_positions`` and ``_prices`` are the written copies once there are any.
+    # The properties with an underscore are the written copies once there are any.
 
     def _share_silver(self) -> None:
         together({"positions": lambda: self.positions, "prices": lambda: self.prices})
@@ -128,6 +135,10 @@ class SampleGold:
     def _positions(self) -> DataFrame:
         return self.__dict__.get("positions", self.sample.positions_unpriced)
 
+    @property
+    def _book(self) -> DataFrame:
+        return self.__dict__.get("book", self._positions)
+
     @property
     def _prices(self) -> DataFrame:
         return self.__dict__.get("prices", self.sample.prices_cleaned)

@@ -10,26 +10,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from deskrisk.functions import duration_years, same_text, tenor_bucket
+from deskrisk.functions import same_text
 from deskrisk.functions.columns import BASIS_POINT
+from deskrisk.plans.book import trade_measures
+
+
+def _count() -> Column:
+    return F.sum("trades").cast("int").alias("position_count")
 
 
 def _count_when(predicate: Column) -> Column:
-    return F.count(F.when(predicate, F.col("trade_id"))).cast("int")
+    return F.sum(F.when(predicate, F.col("trades")).otherwise(0)).cast("int")
 
 
 def fx_sensitivity(positions: DataFrame, run_date: Column) -> DataFrame:
     """Effect of a 1 % move of each foreign currency, by desk and asset class."""
     notional, side = F.col("notional_usd"), F.col("direction_multiplier")
-    foreign = positions.where(~same_text(F.col("currency"), "USD") & F.col("trade_id").isNotNull())
+    foreign = trade_measures(positions).where(~same_text(F.col("currency"), "USD"))
     grouped = foreign.groupBy("desk", "currency", "asset_class").agg(
-        F.count("trade_id").cast("int").alias("position_count"),
+        _count(),
         _count_when(same_text(F.col("direction"), "LONG")).alias("long_position_count"),
         _count_when(same_text(F.col("direction"), "SHORT")).alias("short_position_count"),
-        F.sum(F.abs(notional)).alias("gross_notional_usd"),
+        F.sum("gross_usd").alias("gross_notional_usd"),
         F.sum(F.when(side == 1, notional).otherwise(0.0)).alias("long_notional_usd"),
         F.sum(F.when(side == -1, notional).otherwise(0.0)).alias("short_notional_usd"),
-        F.sum(notional * side).alias("net_notional_usd"),
+        F.sum("signed_usd").alias("net_notional_usd"),
         F.max("fx_rate_vs_usd").alias("fx_rate_vs_usd"),
     )
     net = F.col("net_notional_usd")
@@ -67,15 +72,15 @@ def equity_sensitivity(positions: DataFrame, classifications: DataFrame, run_dat
     """Effect of a 1 % move of each equity, by desk. Tickers are classified after they
     have been summed, so each is looked up once."""
     notional = F.col("notional_usd")
-    equities = positions.where(same_text(F.col("asset_class"), "EQUITY") & F.col("trade_id").isNotNull())
+    equities = trade_measures(positions).where(same_text(F.col("asset_class"), "EQUITY"))
     grouped = equities.groupBy("desk", "ticker").agg(
-        F.count("trade_id").cast("int").alias("position_count"),
+        _count(),
         _count_when(F.col("direction") == "LONG").alias("long_position_count"),
         _count_when(F.col("direction") == "SHORT").alias("short_position_count"),
-        F.sum(F.abs(notional)).alias("gross_notional_usd"),
+        F.sum("gross_usd").alias("gross_notional_usd"),
         F.sum(F.when(F.col("direction") == "LONG", notional).otherwise(0.0)).alias("_long"),
         F.sum(F.when(F.col("direction") == "SHORT", notional).otherwise(0.0)).alias("_short"),
-        F.sum(notional * F.col("direction_multiplier")).alias("net_notional_usd"),
+        F.sum("signed_usd").alias("net_notional_usd"),
         F.max("current_price").alias("current_price"),
         F.max("latest_price_date").alias("latest_price_date"),
     )
@@ -103,21 +108,17 @@ def rates_credit_sensitivity(positions: DataFrame, run_date: Column) -> DataFram
     Rates up or spreads wider means prices down, so a long book loses: that is the
     minus sign of the ``up`` and ``widen`` columns.
     """
-    days, notional = F.col("days_to_maturity"), F.col("notional_usd")
-    years = duration_years(days)
-    signed = notional * F.col("direction_multiplier") * years * F.lit(BASIS_POINT)
-    book = positions.where(F.upper("asset_class").isin("RATES", "CREDIT") & F.col("trade_id").isNotNull())
+    book = trade_measures(positions).where(F.upper("asset_class").isin("RATES", "CREDIT"))
     buckets = (
         book.groupBy(
-            "desk", "asset_class", F.col("currency").alias("rate_currency"),
-            F.when(days > 0, tenor_bucket(days)).alias("tenor_bucket"),
+            "desk", "asset_class", F.col("currency").alias("rate_currency"), F.col("live_tenor").alias("tenor_bucket")
         )
         .agg(
-            F.count("trade_id").cast("int").alias("position_count"),
-            F.sum(F.abs(notional)).alias("gross_notional_usd"),
-            F.sum(notional * F.col("direction_multiplier")).alias("net_notional_usd"),
-            F.sum(F.abs(notional) * years).alias("_weighted"),
-            F.sum(signed).alias("_signed"),
+            _count(),
+            F.sum("gross_usd").alias("gross_notional_usd"),
+            F.sum("signed_usd").alias("net_notional_usd"),
+            F.sum("gross_years").alias("_weighted"),
+            F.sum("signed_years").alias("_signed_years"),
         )
     )
     curve = W.partitionBy("desk", "asset_class", "rate_currency")
@@ -125,7 +126,7 @@ def rates_credit_sensitivity(positions: DataFrame, run_date: Column) -> DataFram
     live = buckets.withColumn("matured_position_count", F.coalesce(matured, F.lit(0))).where(
         "tenor_bucket IS NOT NULL"
     )
-    one_bp = F.col("_signed")
+    one_bp = F.col("_signed_years") * F.lit(BASIS_POINT)
 
     def only(asset_class: str, value: Column, name: str) -> Column:
         return F.when(same_text(F.col("asset_class"), asset_class), value).otherwise(0.0).alias(name)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.functions import duration_years, percent_of, same_text
+from deskrisk.functions import percent_of, same_text
 from deskrisk.functions.columns import BASIS_POINT
+from deskrisk.plans.book import trade_measures
 from deskrisk.plans.exposure import latest_limits
 from deskrisk.plans.value_at_risk import desk_var
 
@@ -21,13 +22,11 @@ def stress_testing(
     rise. Both are linear in sums over trades, so the book is reduced to one row per
     desk and class, and only that meets the scenarios.
     """
-    notional, side = F.col("notional_usd"), F.col("direction_multiplier")
-    years = duration_years(F.coalesce("days_to_maturity", F.lit(0)))
-    book = positions.groupBy("desk", "asset_class").agg(
-        F.count("trade_id").alias("_trades"),
-        F.sum(F.abs(notional)).alias("_gross"),
-        F.sum(notional * side).alias("_signed"),
-        F.sum(notional * side * years).alias("_signed_years"),
+    book = trade_measures(positions).groupBy("desk", "asset_class").agg(
+        F.sum("trades").alias("_trades"),
+        F.sum("gross_usd").alias("_gross"),
+        F.sum("signed_usd").alias("_signed"),
+        F.sum("signed_years").alias("_signed_years"),
     )
     portfolio = book.agg(F.sum("_gross").alias("portfolio_total_notional_usd"))
 

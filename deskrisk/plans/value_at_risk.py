@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deskrisk.functions import basel_zone, flag, model_status
+from deskrisk.plans.book import trade_measures
 
 # Calendar days of scenarios, tail probabilities, days of the backtest.
 LOOKBACK_DAYS = 365
@@ -55,10 +56,10 @@ def scenario_pnl(positions: DataFrame, returns: DataFrame) -> DataFrame:
     what meets the returns is one row per desk, class and ticker, however many trades
     there are and however many of them share one ticker.
     """
-    book = positions.groupBy("desk", "asset_class", "ticker").agg(
-        F.sum(F.col("notional_usd") * F.col("direction_multiplier")).alias("_signed"),
+    book = trade_measures(positions).groupBy("desk", "asset_class", "ticker").agg(
+        F.sum("signed_usd").alias("_signed"),
         F.sum("notional_usd").alias("_notional"),
-        F.count("trade_id").alias("_trades"),
+        F.sum("trades").alias("_trades"),
     )
     return (
         book.join(returns, "ticker")
@@ -80,7 +81,7 @@ def var_daily(
 ) -> DataFrame:
     """VaR at three levels and expected shortfall per desk and asset class.
 
-    ``positions`` has one row per trade. The look-back ends at the newest price, or at
+    ``positions`` has one row per trade, or is a book of them. The look-back ends at the newest price, or at
     ``as_of``. VaR is the size of the tail quantile, so a book that gains even there
     still shows a positive number. Percentiles interpolate over at most one value per
     day of the look-back, so a group is small whatever the book's size.

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deskrisk.functions import normalise_ticker
+from deskrisk.plans.book import trade_measures
 from deskrisk.plans.silver import positions_enriched, prices_cleaned
 from deskrisk.sources.schemas import SEEDS
 
@@ -183,9 +184,7 @@ class Sample:
 
     def pnl_history(self, positions: DataFrame, prices: DataFrame) -> DataFrame:
         """P&L of today's book on every day with a return, by desk."""
-        book = positions.groupBy("desk", "ticker").agg(
-            F.sum(F.col("notional_usd") * F.col("direction_multiplier")).alias("_signed")
-        )
+        book = trade_measures(positions).groupBy("desk", "ticker").agg(F.sum("signed_usd").alias("_signed"))
         previous = F.lag("close_price").over(W.partitionBy("ticker").orderBy("price_date"))
         moves = prices.select("ticker", "price_date", "close_price", previous.alias("_previous")).where("_previous > 0")
         move = (F.col("close_price") - F.col("_previous")) / F.col("_previous")
