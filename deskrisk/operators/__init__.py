@@ -1,4 +1,5 @@
 from deskrisk.operators.latest import latest_per_key, latest_value  # noqa: F401
+from deskrisk.operators.partitioning import spread  # noqa: F401
 from deskrisk.operators.ranking import rank_rows  # noqa: F401
 from deskrisk.operators.scratch import settle, together  # noqa: F401
 from deskrisk.operators.upsert import merge_frames, merge_into, schema_guard  # noqa: F401

@@ -1,0 +1,23 @@
+"""Using all cores on an input that comes in few pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Above this size an input has row groups enough, and a shuffle only to spread it would
+# cost more than it brings.
+MAX_SPREAD_BYTES = 1 << 30
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Hash a small file scan over the cores when it has few files, else leave it.
+
+    A Parquet row group is never divided, so one file of a few megabytes would be
+    joined and sorted by a single task, however many splits it is listed with.
+    ``scan`` must be a plain scan. A large input is returned as it is.
+    """
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if int(str(size)) > MAX_SPREAD_BYTES or len(scan.inputFiles()) * 4 > cores:
+        return scan
+    return scan.repartition(cores, *keys)

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deskrisk.functions import normalise_ticker
+from deskrisk.operators import spread
 from deskrisk.plans.book import trade_measures
 from deskrisk.plans.silver import positions_enriched, prices_cleaned
 from deskrisk.sources.schemas import SEEDS
@@ -56,6 +57,11 @@ class Sample:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        """The big table; every view below does its work on it."""
+        return spread(self.table("lineitem"), "l_orderkey", "l_partkey")
+
     @staticmethod
     def _brand() -> tuple[Column, Column]:
         number = F.substring("p_brand", 7, 10)
@@ -72,7 +78,7 @@ class Sample:
     @cached_property
     def market_prices(self) -> DataFrame:
         price = F.col("l_extendedprice") / F.col("l_quantity")
-        joined = self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        joined = self.lineitem.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
         return joined.select(
             F.col("l_shipdate").cast("date").alias("Date"),
             price.alias("Open"),
@@ -99,8 +105,7 @@ class Sample:
         regions = {"ASIA": "JPY", "EUROPE": "EUR", "MIDDLE EAST": "GBP", "AMERICA": "AUD"}
         digest = F.upper(F.md5(trade_id))
         joined = (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            self.lineitem.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))

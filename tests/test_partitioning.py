@@ -1,0 +1,16 @@
+from deskrisk.operators import partitioning, spread
+
+
+def test_only_small_scans_in_few_pieces_are_spread(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    spark.range(1000).repartition(cores).write.parquet(many)
+    scan = spark.read.parquet(one)
+    wide = spread(scan, "id")
+    assert wide.rdd.getNumPartitions() == cores and wide.count() == 1000
+    monkeypatch.setattr(partitioning, "MAX_SPREAD_BYTES", 10)
+    assert spread(scan, "id") is scan
+    monkeypatch.undo()
+    split = spark.read.parquet(many)
+    assert spread(split, "id") is split
