@@ -9,6 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders this application has written, until ``clear_scratch`` removes them.
+_WRITTEN: list[str] = []
+
 # Jobs submitted side by side; Spark shares the executors among them.
 PARALLEL = 4
 
@@ -38,10 +41,23 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/deskrisk-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every table this application has settled, once nothing reads them any more."""
+    while _WRITTEN:
+        drop_folder(spark, _WRITTEN.pop())
+
+
 def together(jobs: dict[str, Callable]) -> dict:
     """Run independent jobs side by side and return their results by name.
 

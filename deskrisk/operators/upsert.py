@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from deskrisk.operators.scratch import drop_folder
+
 
 class SchemaDriftError(ValueError):
     """A result no longer has the columns its table was declared with."""
@@ -104,7 +106,7 @@ def merge_into(
         .partitionBy(partition_col)
         .parquet(path)
     )
-    _drop_folder(spark, stage)
+    drop_folder(spark, stage)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -117,8 +119,3 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-
-
-def _drop_folder(spark: SparkSession, folder: str) -> None:
-    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)

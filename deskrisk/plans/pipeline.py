@@ -1,4 +1,4 @@
-"""The daily run: silver, its gates, gold, its gates."""
+"""The daily run: bronze, silver, its gates, gold, its gates."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from deskrisk.operators import settle, together
+from deskrisk.operators import clear_scratch, settle, together
 from deskrisk.operators.checks import (
     check_unique_combination,
     column_checks,
@@ -25,7 +25,10 @@ from deskrisk.plans.stress import stress_testing
 from deskrisk.plans.summary import risk_summary
 from deskrisk.plans.value_at_risk import var_backtest, var_daily
 from deskrisk.sources.lake import Lake
-from deskrisk.sources.schemas import KEYS, TABLES
+from deskrisk.sources.landing import append, full_refresh, read_required, truncate_reload
+from deskrisk.sources.schemas import BRONZE, KEYS, SEEDS, TABLES
+from deskrisk.sources.seeds import read_seed
+from deskrisk.streaming.ingest import ingest_incremental, landing_stream
 
 # The closed domains the tables are checked against.
 LIGHTS = ("GREEN", "AMBER", "RED")
@@ -71,6 +74,38 @@ def table_checks(lake: Lake, table: str, desks: tuple[str, ...]):
     )
 
 
+def load_bronze(lake: Lake, landing_root: str, progress_root: str) -> None:
+    """Landing zone to bronze, each table in its own way.
+
+    Prices and positions take only files not loaded before. Rates are appended again on
+    every run. Limits and seeds are small and replaced as a whole; a limit file without
+    rows is an error.
+    """
+    spark, root = lake.spark, landing_root.rstrip("/")
+
+    def incremental(table: str, folder: str) -> None:
+        stream = landing_stream(spark, f"{root}/{folder}", BRONZE[table])
+        ingest_incremental(stream, lake.path(table), f"{progress_root.rstrip('/')}/{table}")
+
+    rates, limits = (f"{root}/reference/{name}.csv" for name in ("fx_rates", "desk_limits"))
+    together(
+        {
+            "market_prices": lambda: incremental("market_prices", "prices"),
+            "positions": lambda: incremental("positions", "positions"),
+            "fx_rates": lambda: append(read_required(spark, rates, BRONZE["fx_rates"]), lake.path("fx_rates")),
+            "desk_limits": lambda: truncate_reload(
+                read_required(spark, limits, BRONZE["desk_limits"]), lake.path("desk_limits")
+            ),
+            **{
+                name: lambda name=name: full_refresh(
+                    read_seed(spark, f"{root}/seeds/{name}.csv", name), lake.path(name)
+                )
+                for name in SEEDS
+            },
+        }
+    )
+
+
 def build_silver(lake: Lake, as_of: date) -> None:
     lake.replace("prices_cleaned", prices_cleaned(lake.read("market_prices")))
     lake.replace(
@@ -149,8 +184,12 @@ def check_gold(lake: Lake, desks: tuple[str, ...]) -> None:
 
 def run(lake: Lake, run_date: date, as_of: date | None = None, desks: tuple[str, ...] = tuple(gates.DESK_CLASS)) -> None:
     """One day, from bronze to checked gold. Raises at the first failing gate, before
-    anything after it is written; repeating a day gives the same tables."""
+    anything after it is written; repeating a day gives the same tables. Run one day at
+    a time per application, as the run removes the scratch tables it wrote."""
     build_silver(lake, as_of or run_date)
     check_silver(lake, desks)
-    build_gold(lake, run_date)
+    try:
+        build_gold(lake, run_date)
+    finally:
+        clear_scratch(lake.spark)
     check_gold(lake, desks)

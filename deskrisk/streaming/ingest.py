@@ -33,7 +33,8 @@ def ingest_incremental(stream: DataFrame, table_path: str, checkpoint: str) -> i
 
     The checkpoint remembers files, and the file sink commits a batch once, so a run
     that failed halfway is repeated without loading anything twice. The run ends when
-    everything that has landed is loaded.
+    everything that has landed is loaded. Feed the table by its stream alone: the sink
+    keeps a log of committed files, and readers ignore files that are not in it.
     """
     query = (
         stream.writeStream.format("parquet")

@@ -1,5 +1,6 @@
 """A small firm's daily runs from bronze to checked gold."""
 
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from deskrisk.operators.checks import QualityError
 from deskrisk.plans.gates import DESK_CLASS
-from deskrisk.plans.pipeline import run
+from deskrisk.plans.pipeline import load_bronze, run
 from deskrisk.serving import reports
 from deskrisk.sources.lake import Lake
 from deskrisk.sources.schemas import BRONZE, GOLD, KEYS, SEEDS, TABLES
@@ -113,3 +114,38 @@ def test_a_failing_gate_stops_before_gold(spark, tmp_path):
     with pytest.raises(QualityError, match="non-positive close_price"):
         run(lake, RUN)
     assert lake.find("var_daily") is None
+
+
+def test_landing_zone_to_gold(spark, tmp_path):
+    """CSV files in; a second day brings new files, and the old ones are not loaded again."""
+    root = tmp_path / "landing"
+    source = Lake(spark, str(tmp_path / "source"))
+    fill(source)
+
+    def csv(table, path):
+        df = source.read(table).drop("_source_file", "_ingested_at")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        df.toPandas().to_csv(path, index=False)
+
+    csv("market_prices", root / "prices" / "year=2026" / "month=03" / "day=01" / "all.csv")
+    csv("positions", root / "positions" / "year=2026" / "month=03" / "day=01" / "positions.csv")
+    csv("fx_rates", root / "reference" / "fx_rates.csv")
+    csv("desk_limits", root / "reference" / "desk_limits.csv")
+    for seed in SEEDS:
+        csv(seed, root / "seeds" / f"{seed}.csv")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for _ in range(2):
+        load_bronze(lake, str(root), str(tmp_path / "progress"))
+    counts = {t: (lake.read(t).count(), source.read(t).count()) for t in (*BRONZE, *SEEDS)}
+    assert counts.pop("fx_rates") == (8, 4)  # appended on every run
+    assert all(have == want for have, want in counts.values()), counts
+    run(lake, RUN)
+    run(source, RUN)
+    for table in KEYS:
+        drop = [c for c in GOLD[table].names if c != "_gold_loaded_at"]
+        have, want = rows(lake.read(table).select(*drop)), rows(source.read(table).select(*drop))
+        for a, b in zip(have, want, strict=True):
+            for c in a:
+                assert a[c] == (pytest.approx(b[c]) if isinstance(b[c], float) else b[c]), (table, c)
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    assert not [p for p in os.listdir(scratch) if "-book-" in p or "-exposure-cube-" in p]
