@@ -32,7 +32,7 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads it back.
 
     For a result used by several branches of one plan: the branches then read only
@@ -42,7 +42,7 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/deskrisk-{name}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

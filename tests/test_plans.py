@@ -1,5 +1,6 @@
 """What the plans must look like to hold at scale."""
 
+import os
 import re
 
 import pytest
@@ -12,8 +13,11 @@ from deskrisk.plans.silver import positions_enriched, prices_cleaned
 from deskrisk.plans.stress import stress_testing
 from deskrisk.plans.value_at_risk import daily_returns, var_daily
 from deskrisk.serving.reports import newest
+from deskrisk.sources.sample import Sample
 from deskrisk.sources.schemas import TABLES
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -103,6 +107,16 @@ def test_newest_day_is_a_pushed_filter(stored):
     assert re.search(r"calculation_date#\d+ = Subquery", text)
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables not present")
+def test_price_join_is_broadcast_once_measured(spark):
+    """Planned as a shuffle join; at run time the trades are not shuffled a second time."""
+    df = Sample(spark, FOLDER).positions_enriched
+    assert re.search(r"SortMergeJoin \[ticker", plan(df))
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert "SortMergeJoin" not in final and re.search(r"BroadcastHashJoin \[ticker", final)
+
+
 def test_no_python_workers_and_no_collecting_aggregates():
     """The data path stays in the JVM and gathers no group into one value."""
     import pathlib
