@@ -28,6 +28,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from deskrisk.llm.workspace import map_batches
+
 # Distinct pieces a Python worker remembers; beyond it the memory is emptied and filled anew.
 REMEMBERED_PIECES = 600_000
 # Bytes of pieces in one linked list.
@@ -309,7 +311,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(tokens: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -323,7 +325,7 @@ def decode(tokens: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, "text"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
-    return tokens.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, text string")
+    return map_batches(tokens.select(id_col, "ids"), run, f"`{id_col}` {kind}, text string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -342,6 +344,5 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe
+from deskrisk.llm import bytebpe, contamination, quality
+from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
+from deskrisk.llm.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +18,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return contamination.find_leaks(docs, benchmark).drop("items")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, sf_dir, "documents"), *vocabulary())
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger that is new in this run: every distinct text is scanned once with every rule."""
+    docs = _table(spark, sf_dir, "documents")
+    ledger = Ledger(spark, Workspace(spark, "secrets").path("ledger"))
+    ledger.scan(docs)
+    return summarise(ledger.findings(docs))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SHIPPED: set[str] = set()
 
 
 class Workspace:
@@ -50,3 +54,25 @@ def released_shuffles(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def map_batches(df: DataFrame, function, schema: str, barrier: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package sent to the executors first."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema, barrier)
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the package's modules to the Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    import deskrisk
+
+    root = Path(deskrisk.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="deskrisk-")) / "deskrisk_llm.zip"  # the driver's own copy to send
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in [root / "__init__.py", *sorted((root / "llm").glob("*.py"))]:
+            packed.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
