@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe, contamination, quality
+from deskrisk.llm import bytebpe, contamination, quality, simhash
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
 from deskrisk.llm.workspace import Workspace
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
