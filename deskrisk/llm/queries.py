@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe, contamination, hmm, quality, simhash, suffixes
+from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, quality, simhash, suffixes
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
 from deskrisk.llm.workspace import Workspace
@@ -34,6 +34,10 @@ def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(_table(spark, sf_dir, "documents"))
 
 
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.near_duplicate_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return contamination.find_leaks(docs, benchmark).drop("items")
