@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, quality, simhash, suffixes
+from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, line_dedup, quality, simhash, suffixes
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
 from deskrisk.llm.workspace import Workspace
@@ -26,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_duplicate_lines(_table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
