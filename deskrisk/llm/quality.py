@@ -21,11 +21,12 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.llm.workspace import Workspace, map_batches
+from deskrisk.llm.workspace import Workspace, map_batches, ship
 
 DIMENSIONS = 1 << 18
 # Bound of the labelled sample, and the partitions it is trained in.
@@ -192,29 +193,31 @@ COLUMNS = (
 )
 
 
+def judge_text(text: str | None, model) -> tuple:
+    """The values of ``COLUMNS`` for one text."""
+    text = text or ""
+    data = text.encode()
+    words = data.split()
+    counts = base_counts(data, words, len(text))
+    failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED * counts[0]
+    probability = None
+    if model is not None:
+        weights, bias, (slope, offset) = model
+        margin = _margin(weights, hashed(text, words)) + bias
+        probability = float(1 / (1 + np.exp(-np.clip(slope * margin + offset, -700, 700))))
+    kept = not failed and (probability is None or probability >= KEEP_AT)
+    return *counts, failed, kept, probability
+
+
 def judge(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, base verdict, probability of good quality and final verdict of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # DIMENSIONS weights, whatever the input
     names = [id_col, *(c.split()[0] for c in COLUMNS.split(", "))]
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
 
-    def row(text: str | None) -> tuple:
-        text = text or ""
-        data = text.encode()
-        words = data.split()
-        counts = base_counts(data, words, len(text))
-        failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED * counts[0]
-        probability = None
-        if sent.value is not None:
-            weights, bias, (slope, offset) = sent.value
-            margin = _margin(weights, hashed(text, words)) + bias
-            probability = float(1 / (1 + np.exp(-np.clip(slope * margin + offset, -700, 700))))
-        kept = not failed and (probability is None or probability >= KEEP_AT)
-        return *counts, failed, kept, probability
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [row(t.as_py()) for t in batch.column(1)]
+            rows = [judge_text(t.as_py(), sent.value) for t in batch.column(1)]
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
@@ -229,3 +232,24 @@ def quality_rules(docs: DataFrame, labels: DataFrame, training_docs: DataFrame |
     model = train(docs if training_docs is None else training_docs, labels, work)
     work.drop()
     return judge(docs, model)
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are, without a shuffle."""
+    work = Workspace(docs.sparkSession, "quality")
+    model = train(docs, labels, work, id_col, text_col)
+    work.drop()
+    verdict = _judge_column(docs, model)
+    return docs.where(verdict(F.col(text_col)))
+
+
+def _judge_column(docs: DataFrame, model):
+    """The final verdict as a function of a text column."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def kept(texts: pd.Series) -> pd.Series:
+        return pd.Series([judge_text(text, sent.value)[6] for text in texts], dtype=bool)
+
+    return kept

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, line_dedup, quality, simhash, suffixes
+from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, licences, line_dedup, quality, simhash, suffixes
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
+from deskrisk.llm.sql import SQL
 from deskrisk.llm.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, sf_dir, "documents"), *vocabulary())
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger that is new in this run: every distinct text is scanned once with every rule."""
     docs = _table(spark, sf_dir, "documents")
@@ -64,4 +69,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -58,11 +58,11 @@ def released_shuffles(spark: SparkSession) -> Iterator[None]:
 
 def map_batches(df: DataFrame, function, schema: str, barrier: bool = False) -> DataFrame:
     """``mapInArrow`` with this package sent to the executors first."""
-    _ship(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema, barrier)
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Send the package's modules to the Python workers, once for each application."""
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
