@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from deskrisk.llm import bytebpe, contamination, line_dedup, quality, simhash
 from deskrisk.llm.settings import vocabulary
+from deskrisk.llm.workspace import Workspace
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +65,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over ``documents``."""
     docs = _table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    work = Workspace(spark, "pipeline")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = work.store(stage(spark, docs, sf_dir), str(k))
     return docs

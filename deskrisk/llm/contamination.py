@@ -14,6 +14,8 @@ table gives no rows; without benchmark rows nothing is contaminated; other colum
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -76,6 +78,10 @@ class Leaks:
             lambda i: _head(words, i, length).isin(self.heads[length]) & _window(words, i, length).isin(self.texts[length]),
         )
 
+    def in_words(self, words: Column) -> Column:
+        """Whether a document's words hold any window (small benchmarks)."""
+        return reduce(or_, [F.size(self.starts(words, n)) > 0 for n in self.lengths], F.lit(False))
+
     def _candidates(self, length: int) -> Column:
         words = F.col("words")
         return F.transform(
@@ -119,11 +125,9 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     """``docs`` without the documents that hold a benchmark window; all columns stay."""
     leaks = Leaks(benchmark)
     if leaks.small:
-        words = words_of(F.col(text_col))
-        clean = F.lit(True)
-        for n in leaks.lengths:
-            clean = clean & (F.size(leaks.starts(words, n)) == 0)
-        return docs.where(clean)
+        # A function's argument: the words are made once for each text, not for each place in it.
+        leaks_in = F.exists(F.array(words_of(F.col(text_col))), leaks.in_words)
+        return docs.where(~leaks_in)
     key = F.xxhash64(text_col)
     bad = leaks.occurrences(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).where("item is not null")
     return docs.join(bad.select("key").distinct(), key == F.col("key"), "left_anti")
