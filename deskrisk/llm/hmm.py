@@ -240,14 +240,14 @@ def _sequences(column) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), np.uint32) for x in column]
 
 
-def train(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
+def train(encoded: DataFrame, vocabulary: Vocabulary, work: Workspace) -> Model:
     """``ROUNDS`` rounds of Baum-Welch over all training texts."""
     model = Model.begin(vocabulary.mass())
     size = len(model.emit)
     prior = SMOOTH * STATES * vocabulary.mass()[:, None]
     context = encoded.sparkSession.sparkContext
     names = ["row", *(f"s{k}" for k in range(STATES))]
-    for _ in range(ROUNDS):
+    for round_ in range(ROUNDS):
         sent = context.broadcast((model.start, model.move, model.emit.astype(np.float32)))
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -268,7 +268,9 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
             yield pa.RecordBatch.from_arrays(columns, names)
 
         parts = map_batches(encoded.where("not held").select("seen"), expect, "row bigint, " + ", ".join(f"{n} float" for n in names[1:]))
-        summed = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names[1:]]).toArrow()  # as many rows as the tables have
+        summed = work.store(parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names[1:]]), f"round-{round_}")
+        summed = summed.toArrow()  # as many rows as the tables have
+        work.drop(f"round-{round_}")
         counts = np.zeros((size + STATES + 1, STATES))
         counts[summed.column("row").to_numpy()] = np.stack([summed.column(n).to_numpy() for n in names[1:]], 1)
         emit = counts[:size] + prior
@@ -289,7 +291,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sent = spark.sparkContext.broadcast(vocabulary.head)  # HEAD tokens at most
     head = _Head(sent, hash(work.folder), size)
     encoded = work.store(_encoded(prepared, head), "encoded")
-    model = train(encoded, vocabulary)
+    model = train(encoded, vocabulary, work)
 
     # Tokens outside the head: their counts by a join, then sums by text.
     below = total + SMOOTH * (distinct + 1)
