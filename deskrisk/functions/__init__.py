@@ -6,6 +6,7 @@ from deskrisk.functions.columns import (  # noqa: F401
     flag,
     model_status,
     normalise_ticker,
+    padded_id,
     percent_of,
     same_text,
     tenor_bucket,

@@ -86,3 +86,9 @@ def trade_noise(trade_id: Column, method: str = "hash") -> Column:
     else:
         raise ValueError(f"unknown noise method {method!r}; use 'hash' or 'md5'")
     return F.lit(1.0) + seed.cast("double") / F.lit(10000.0)
+
+
+def padded_id(prefix: str, number: Column, width: int) -> Column:
+    """``prefix`` and the number with leading zeros; a number longer than ``width`` stays whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), "0"))

@@ -1,4 +1,4 @@
-"""``row_number`` within groups that may be too large for one task."""
+"""``row_number`` within groups of any size."""
 
 from __future__ import annotations
 
@@ -8,43 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A group up to this many rows is sorted by a single task without trouble.
-MAX_GROUP_ROWS = 2_000_000
-# Value ranges a larger group is cut into.
-RANGES = 256
+from deskrisk.operators.scratch import settle
 
 
-def rank_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    ties: Sequence[str],
-    name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    ranges: int = RANGES,
-) -> DataFrame:
+def rank_rows(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], name: str) -> DataFrame:
     """Add ``name``: position within ``keys`` by ``by`` descending, then ``ties``.
 
-    The largest group is counted first. While it is small, this is a plain window.
-    Otherwise every group is cut at approximate quantiles of ``by``, rows are
-    numbered within a cut, and each cut starts after the rows of all higher cuts.
-    The cut points only balance the work: any cut points give the same numbers.
-
-    ``df`` is read several times, so pass a stored table (see ``settle``).
+    The rows are sorted into ranges of (keys, by, ties) and stored with the number of their
+    range. Rows are numbered within a range, and each range of a group starts after the rows
+    of the group's earlier ones. A group of any size, and any number of equal values, is so
+    spread over many tasks; only the counts of the ranges are gathered by group.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     order = [F.desc(by), *[F.asc(c) for c in ties]]
-    if largest is None or largest <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-
-    marks = [i / ranges for i in range(1, ranges)]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(by, marks, 10 * ranges).alias("_cuts"))
-    # Range 0 holds the greatest values; NULLs sort last, so they get a range of their own.
-    above = F.size(F.filter("_cuts", lambda c: c > F.col(by)))
-    ranged = _null_safe_join(df, cuts, keys).withColumn(
-        "_range", F.when(F.col(by).isNull(), ranges + 1).otherwise(above)
-    ).drop("_cuts")
-
+    ranged = settle(
+        df.repartitionByRange(*[F.asc(k) for k in keys], *order).withColumn("_range", F.spark_partition_id()), f"ranged-{name}"
+    )
     earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         ranged.groupBy(*keys, "_range")
@@ -52,8 +30,7 @@ def rank_rows(
         .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
-    within = F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order))
-    numbered = ranged.withColumn("_within", within)
+    numbered = ranged.withColumn("_within", F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order)))
     return (
         _null_safe_join(numbered, starts, [*keys, "_range"])
         .withColumn(name, (F.col("_start") + F.col("_within")).cast("int"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -19,17 +18,13 @@ PARALLEL = 4
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    the driver and the executors share one machine, falls back to a temporary one.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it lies in the
+    warehouse, which all executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="deskrisk-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from deskrisk.functions import band, flag, percent_of, tenor_bucket
 from deskrisk.operators import rank_rows, settle
-from deskrisk.operators.ranking import MAX_GROUP_ROWS
 
 # The dimensions and the column each groups by.
 DIMENSIONS = {
@@ -75,7 +74,7 @@ def exposure_cube(positions: DataFrame, classifications: DataFrame) -> DataFrame
 
 
 def concentration_risk(
-    positions: DataFrame, classifications: DataFrame, run_date: Column, max_group_rows: int = MAX_GROUP_ROWS
+    positions: DataFrame, classifications: DataFrame, run_date: Column
 ) -> DataFrame:
     """Shares, levels, ranks and the Herfindahl index per desk, dimension and entity.
 
@@ -104,11 +103,10 @@ def concentration_risk(
         F.round(F.sum(F.pow("pct_of_desk_total", F.lit(2.0))), 2).alias("desk_hhi")
     )
     in_desk = rank_rows(
-        shares, ["desk", "concentration_type"], "gross_exposure_usd", ["entity_name"], "desk_rank", max_group_rows
+        shares, ["desk", "concentration_type"], "gross_exposure_usd", ["entity_name"], "desk_rank"
     )
     ranked = rank_rows(
-        in_desk, ["concentration_type"], "gross_exposure_usd", ["desk", "entity_name"], "portfolio_rank",
-        max_group_rows,
+        in_desk, ["concentration_type"], "gross_exposure_usd", ["desk", "entity_name"], "portfolio_rank"
     )
     of_desk, of_all = F.col("pct_of_desk_total"), F.col("pct_of_portfolio_total")
     return ranked.join(squares, ["desk", "concentration_type"]).select(

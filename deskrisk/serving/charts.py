@@ -8,9 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ALL_ROWS = 10_000
-
-
 @dataclass(frozen=True)
 class Chart:
     """What a chart shows of one gold table.
@@ -18,7 +15,8 @@ class Chart:
     With ``metrics``, rows are grouped by ``columns`` and each metric is an aggregate
     named ``<function>_<column>``; with ``distinct``, ``columns`` are grouped without
     a metric; otherwise they are shown row by row. ``order`` lists columns, a leading
-    minus meaning descending; the remaining columns break ties.
+    minus meaning descending; the remaining columns break ties. ``limit`` is for charts
+    whose point is the first few rows; without it a chart has all rows.
     """
 
     source: str
@@ -27,7 +25,7 @@ class Chart:
     where: dict[str, str] = field(default_factory=dict)
     distinct: bool = False
     order: tuple[str, ...] = ()
-    limit: int = ALL_ROWS
+    limit: int | None = None
 
 
 def metric_name(metric: str) -> str:
@@ -57,21 +55,23 @@ def chart_query(
     named = {c.lstrip("-") for c in first}
     order = [F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in first]
     order += [F.asc_nulls_last(c) for c in rows.columns if c not in named]
-    return rows.orderBy(*order).limit(chart.limit)
+    ordered = rows.orderBy(*order)
+    return ordered if chart.limit is None else ordered.limit(chart.limit)
 
 
-def _by(source: str, *columns: str, metrics: tuple[str, ...], limit: int = ALL_ROWS, **where: str) -> Chart:
+def _by(source: str, *columns: str, metrics: tuple[str, ...], limit: int | None = None, **where: str) -> Chart:
     return Chart(source, columns, metrics, where, limit=limit)
 
 
+# Sources, columns and metrics of the charts.
 CHARTS = {
     "ch01_risk_status": Chart(
         "risk_summary",
         ("desk", "overall_risk_status", "var_99_usd", "utilisation_pct", "worst_stress_pnl_usd"),
-        order=("-utilisation_pct",), limit=4,
+        order=("-utilisation_pct",),
     ),
     "ch02_var99_by_desk": _by("risk_summary", "desk", metrics=("SUM(var_99_usd)",)),
-    "ch03_utilisation": _by("risk_summary", "desk", "limit_status", metrics=("SUM(utilisation_pct)",), limit=10),
+    "ch03_utilisation": _by("risk_summary", "desk", "limit_status", metrics=("SUM(utilisation_pct)",)),
     "ch04_worst_stress": _by(
         "risk_summary", "desk", "worst_stress_scenario", metrics=("MIN(worst_stress_pnl_usd)",)
     ),
@@ -90,7 +90,7 @@ CHARTS = {
             "desk", "asset_class", "position_count", "total_notional_usd", "var_95_usd", "var_97_5_usd",
             "var_99_usd", "es_97_5_usd", "worst_day_loss_usd", "best_day_gain_usd", "scenario_count",
         ),
-        order=("-var_99_usd",), limit=1000,
+        order=("-var_99_usd",),
     ),
     "ch10_exposure_limit": _by("exposure_monitor", "desk", metrics=("SUM(gross_exposure_usd)", "SUM(limit_usd)")),
     "ch11_limit_utilisation": _by("exposure_monitor", "desk", "limit_status", metrics=("SUM(utilisation_pct)",)),
@@ -100,7 +100,7 @@ CHARTS = {
     "ch13_limit_detail": Chart(
         "exposure_monitor",
         ("desk", "gross_exposure_usd", "net_exposure_usd", "limit_usd", "utilisation_pct", "limit_status"),
-        distinct=True, limit=1000,
+        distinct=True,
     ),
     "ch14_pnl_by_desk": _by("pnl_attribution", "desk", metrics=("SUM(actual_pnl_usd)",)),
     "ch15_actual_hypo": _by(
@@ -115,7 +115,7 @@ CHARTS = {
     "ch22_sens_detail": Chart(
         "rates_credit_sensitivity",
         ("desk", "asset_class", "tenor_bucket", "gross_notional_usd", "pv01_usd", "dv01_100bps_usd", "cs01_usd"),
-        distinct=True, limit=1000,
+        distinct=True,
     ),
     "ch23_stress_scenario": _by("stress_testing", "scenario_name", metrics=("SUM(stressed_pnl_usd)",)),
     "ch24_stress_desk": _by("stress_testing", "desk", metrics=("SUM(stressed_pnl_usd)",)),
@@ -133,18 +133,18 @@ CHARTS = {
             "desk", "scenario_name", "scenario_type", "stressed_pnl_usd", "worst_asset_class",
             "stressed_loss_to_var_ratio", "stressed_loss_to_limit_pct",
         ),
-        distinct=True, limit=1000,
+        distinct=True,
     ),
     "ch29_top_cp_exposure": _by(
         "concentration_risk", "entity_name", metrics=("SUM(pct_of_portfolio_total)",), limit=10,
         concentration_type="COUNTERPARTY",
     ),
     "ch30_by_asset_class": _by(
-        "concentration_risk", "entity_name", metrics=("SUM(gross_exposure_usd)",), limit=100,
+        "concentration_risk", "entity_name", metrics=("SUM(gross_exposure_usd)",),
         concentration_type="ASSET_CLASS",
     ),
     "ch31_geography": _by(
-        "concentration_risk", "entity_name", metrics=("SUM(gross_exposure_usd)",), limit=100,
+        "concentration_risk", "entity_name", metrics=("SUM(gross_exposure_usd)",),
         concentration_type="GEOGRAPHY",
     ),
     "ch32_sector": _by(
@@ -161,6 +161,6 @@ CHARTS = {
             "desk", "concentration_type", "entity_name", "gross_exposure_usd", "pct_of_desk_total",
             "concentration_level", "desk_rank",
         ),
-        order=("desk_rank",), limit=1000,
+        order=("desk_rank",),
     ),
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskrisk.operators.upsert import merge_into, read_table, schema_guard
+from deskrisk.sources.landing import replace_table
 from deskrisk.sources.schemas import DATED, GOLD, KEYS, LAYERS, SILVER, TABLES, UPDATES
 
 _LAYER = {table: layer for layer, tables in LAYERS.items() for table in tables}
@@ -36,7 +37,7 @@ class Lake:
     def replace(self, table: str, df: DataFrame) -> None:
         """Full refresh of a silver table, stamped with the write time."""
         stamped = df.withColumn("_silver_loaded_at", F.current_timestamp())
-        schema_guard(stamped, SILVER[table]).write.mode("overwrite").parquet(self.path(table))
+        replace_table(schema_guard(stamped, SILVER[table]), self.path(table))
 
     def merge(self, table: str, df: DataFrame) -> None:
         """Upsert into a gold table, stamped with the write time."""

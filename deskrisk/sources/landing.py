@@ -61,6 +61,7 @@ def read_landing(
         spark.read.schema(text_schema(schema))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")  # a row of another length stops the load
         .csv(f"{folder.rstrip('/')}/{pattern}")
     )
     return typed(raw, schema)
@@ -78,23 +79,52 @@ def read_required(spark: SparkSession, path: str, schema: StructType) -> DataFra
         raise
 
 
+def replace_table(df: DataFrame, table_path: str, least_rows: int = 0) -> int:
+    """Write beside the table, count, then swap by renaming; returns the row count.
+
+    Should a run end between the two renames, the old table is found under its other name
+    and put back by the next call.
+    """
+    spark = df.sparkSession
+    path = table_path.rstrip("/")
+    staged, old = f"{path}__staged", f"{path}__old"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(hadoop(old)):
+        if files.exists(hadoop(path)):
+            files.delete(hadoop(old), True)
+        else:
+            files.rename(hadoop(old), hadoop(path))
+    df.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged).count()
+    if rows < least_rows:
+        files.delete(hadoop(staged), True)
+        raise EmptyLoadError(f"{table_path}: the reload brought no rows")
+    if files.exists(hadoop(path)):
+        files.rename(hadoop(path), hadoop(old))
+    if not files.rename(hadoop(staged), hadoop(path)):
+        raise OSError(f"{staged} could not be renamed")
+    files.delete(hadoop(old), True)
+    spark.catalog.refreshByPath(path)
+    return rows
+
+
 def append(df: DataFrame, table_path: str) -> None:
     """Load again whatever is given, seen before or not."""
     df.write.mode("append").parquet(table_path)
 
 
 def truncate_reload(df: DataFrame, table_path: str) -> int:
-    """Replace the table with ``df`` and return its row count; an empty load is an error."""
-    df.write.mode("overwrite").parquet(table_path)
-    rows = df.sparkSession.read.schema(df.schema).parquet(table_path).count()
-    if rows == 0:
-        raise EmptyLoadError(f"{table_path}: the reload brought no rows")
-    return rows
+    """Replace the table with ``df`` and return its row count.
+
+    An empty load is an error and leaves the table as it was.
+    """
+    return replace_table(df, table_path, least_rows=1)
 
 
 def full_refresh(df: DataFrame, table_path: str) -> None:
-    """Rebuild a table from scratch. ``df`` must not read ``table_path``."""
-    df.write.mode("overwrite").parquet(table_path)
+    """Rebuild a table from scratch; a job that fails leaves the old one."""
+    replace_table(df, table_path)
 
 
 def evolve(existing: DataFrame, incoming: DataFrame) -> DataFrame:

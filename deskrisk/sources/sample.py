@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from deskrisk.functions import normalise_ticker
-from deskrisk.operators import spread
+from deskrisk.functions import normalise_ticker, padded_id
 from deskrisk.plans.book import trade_measures
 from deskrisk.plans.silver import positions_enriched, prices_cleaned
 from deskrisk.sources.schemas import SEEDS
@@ -44,10 +43,15 @@ def _pick(column: Column, pairs: dict, otherwise) -> Column:
 
 
 class Sample:
-    """Bronze and silver views of the tables in ``folder``."""
+    """Bronze and silver views of the tables in ``folder``.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    ``pieces`` hashes the big table before it is joined: for a sample that comes as one file,
+    which one task would read, join and sort. Without it the scan is left as it is.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, pieces: int | None = None):
         self.spark = spark
+        self.pieces = pieces
         self.folder = folder.rstrip("/")
 
     @property
@@ -60,7 +64,8 @@ class Sample:
     @cached_property
     def lineitem(self) -> DataFrame:
         """The big table; every view below does its work on it."""
-        return spread(self.table("lineitem"), "l_orderkey", "l_partkey")
+        rows = self.table("lineitem")
+        return rows if self.pieces is None else rows.repartition(self.pieces, "l_orderkey", "l_partkey")
 
     @staticmethod
     def _brand() -> tuple[Column, Column]:
@@ -96,7 +101,7 @@ class Sample:
     @cached_property
     def positions(self) -> DataFrame:
         key = F.col("l_orderkey")
-        trade_id = F.concat(F.lit("T-"), F.lpad(key.cast("string"), 8, "0"))
+        trade_id = padded_id("T-", key, 8)
         segments = dict(zip(("BUILDING", "MACHINERY", "AUTOMOBILE", "HOUSEHOLD"), DESKS))
         classes = dict(zip(segments, ("FX", "Equity", "Rates", "Credit")))
         mixed = F.when(key % 4 == 0, "FX").when(key % 4 == 1, "Equity").when(key % 4 == 2, "Rates").otherwise("Credit")

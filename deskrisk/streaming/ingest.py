@@ -2,12 +2,52 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from threading import Condition
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from deskrisk.sources.landing import DATED_GLOB, text_schema, typed
 
 
+# The file source skips files older than this before the newest one it has seen.
+NO_FILE_IS_TOO_OLD = "36500d"
+# Seconds to wait for the last progress events of a run that has ended.
+EVENTS_WITHIN = 60
+
+
+class _RowCounter(StreamingQueryListener):
+    """Rows read by each run, from every progress event (a query itself keeps only the last ones)."""
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+        self.ended: set[str] = set()
+        self.change = Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        with self.change:
+            self.ended.add(str(event.runId))
+            self.change.notify_all()
+
+    def total(self, run: str) -> int:
+        """All rows of a run that has ended; its events arrive in order, the end last."""
+        with self.change:
+            if not self.change.wait_for(lambda: run in self.ended, EVENTS_WITHIN):
+                raise TimeoutError("the end of the run was not reported")
+        return self.rows[run]
+
+
 def landing_stream(
     spark: SparkSession,
     folder: str,
@@ -18,10 +58,12 @@ def landing_stream(
     """The landing folder as a stream of typed bronze rows.
 
     ``max_files`` bounds one micro-batch, so that a large backlog is worked off in
-    pieces that fit the cluster.
+    pieces that fit the cluster. Files are loaded whatever their age, so that a backfill
+    copied with its old times is not passed over.
     """
     reader = (
         spark.readStream.schema(text_schema(schema)).option("header", True).option("enforceSchema", False)
+        .option("maxFileAge", NO_FILE_IS_TOO_OLD)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -36,6 +78,9 @@ def ingest_incremental(stream: DataFrame, table_path: str, checkpoint: str) -> i
     everything that has landed is loaded. Feed the table by its stream alone: the sink
     keeps a log of committed files, and readers ignore files that are not in it.
     """
+    counter = _RowCounter()
+    spark = stream.sparkSession
+    spark.streams.addListener(counter)
     query = (
         stream.writeStream.format("parquet")
         .option("path", table_path)
@@ -44,5 +89,8 @@ def ingest_incremental(stream: DataFrame, table_path: str, checkpoint: str) -> i
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    try:
+        query.awaitTermination()
+        return counter.total(str(query.runId))
+    finally:
+        spark.streams.removeListener(counter)

@@ -46,7 +46,8 @@ def _chart_sql(name: str) -> str:
         named = {c.lstrip("-") for c in chart.order}
         order = ", ".join([*first, *[c for c in chart.columns if c not in named]])
         shown = list(chart.columns)
-    return _select(shown, outputs.chart_places(name), f"({inner} ORDER BY {order} LIMIT {chart.limit})")
+    limit = "" if chart.limit is None else f" LIMIT {chart.limit}"
+    return _select(shown, outputs.chart_places(name), f"({inner} ORDER BY {order}{limit})")
 
 
 for _name in CHARTS:
@@ -71,14 +72,14 @@ UNION ALL SELECT 'USD', 1.0, DATE '2001-12-31'
 """
 SQL["read_landing"] = SQL["ingest_incremental"] = """
 SELECT symbol AS ticker, fetched_at, count(*) AS row_count, min(dt) AS first_date, max(c) AS highest_close,
-       CAST(1 AS BIGINT) AS files
+       CAST(0 AS BIGINT) AS without_file
 FROM bronze_prices GROUP BY ALL
 """
 SQL["reload_forced"] = """
 SELECT desk, round(limit_usd, 2) AS limit_usd, approved_date FROM limits
 UNION ALL SELECT desk, round(limit_usd, 2), approved_date FROM limits
 """
-SQL["truncate_reload"] = "SELECT trade_id, desk, notional FROM bronze_trades WHERE desk = 'FX Desk'"
+SQL["truncate_reload"] = "SELECT trade_id, desk, notional * 2 AS notional FROM bronze_trades"
 SQL["evolve_append"] = """
 SELECT trade_id, desk, notional, CASE WHEN trade_date >= DATE '1998-01-01' THEN isin END AS isin FROM bronze_trades
 """
@@ -343,9 +344,14 @@ SQL["pnl_summary"] = """
 SELECT desk, round(actual_pnl_usd, 2) AS actual_pnl_usd, round(hypothetical_pnl_usd, 2) AS hypothetical_pnl_usd,
        round(unexplained_pnl_usd, 2) AS unexplained_pnl_usd, pnl_date FROM pnl_attribution
 """
+# The tables that are given.
+GIVEN_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 SQL["table_health"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {t}"
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    for t in GIVEN_TABLES
 )
 SQL["desk_filter"] = (
     _select(business_columns("exposure_monitor"), outputs.places("exposure_monitor"), "exposure_monitor")

@@ -23,6 +23,7 @@ from deskrisk.sources.schemas import BRONZE, DATED, KEYS
 from deskrisk.sources.seeds import read_seed
 from deskrisk.streaming.ingest import ingest_incremental, landing_stream
 from registry import outputs
+from registry.duckdb_queries import GIVEN_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_DAY = date.fromisoformat(RUN_DATE)
@@ -30,8 +31,13 @@ RUN_DAY = date.fromisoformat(RUN_DATE)
 QUERIES: dict[str, Query] = {}
 
 
+def _sample(spark: SparkSession, folder: str) -> Sample:
+    """The sample's tables are one file each, so the big one is spread over the cores."""
+    return Sample(spark, folder, pieces=spark.sparkContext.defaultParallelism)
+
+
 def query(function: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: function(Sample(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(_sample(spark, folder))
     return function
 
 
@@ -61,7 +67,7 @@ def positions_enriched(s: Sample) -> DataFrame:
 
 def _gold(table: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(getattr(SampleGold(Sample(spark, folder)), table), outputs.places(table))
+        return rounded(getattr(SampleGold(_sample(spark, folder)), table), outputs.places(table))
 
     return run
 
@@ -73,7 +79,7 @@ for _table in KEYS:
 def _chart(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         chart = CHARTS[name]
-        table = getattr(SampleGold(Sample(spark, folder)), chart.source)
+        table = getattr(SampleGold(_sample(spark, folder)), chart.source)
         span = {}
         if name == "ch01_risk_status":
             span = {"date_col": DATED[chart.source], "start": RUN_DAY, "end": RUN_DAY + timedelta(days=1)}
@@ -121,7 +127,7 @@ def _landed_prices(s: Sample) -> tuple[str, StructType]:
     schema = StructType(BRONZE["market_prices"].fields[:8])
     folder = folder_for(s.spark, "landing")
     rows = s.market_prices.select(*schema.names, F.to_date("fetched_at", "yyyy-MM").alias("run_date"))
-    landing.write_landing(rows.repartition("run_date"), folder, "run_date")
+    landing.write_landing(rows, folder, "run_date")
     return folder, schema
 
 
@@ -130,7 +136,7 @@ def _by_ticker(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.min("Date").alias("first_date"),
         F.max("Close").alias("highest_close"),
-        F.countDistinct("_source_file").alias("files"),
+        F.count_if(F.col("_source_file").isNull()).alias("without_file"),
     )
 
 
@@ -165,7 +171,7 @@ def truncate_reload(s: Sample) -> DataFrame:
     table = folder_for(s.spark, "bronze")
     first = s.positions.select("trade_id", "desk", "notional")
     landing.truncate_reload(first, table)
-    landing.truncate_reload(first.where("desk = 'FX Desk'"), table)
+    landing.truncate_reload(first.withColumn("notional", F.col("notional") * 2), table)
     return s.spark.read.parquet(table)
 
 
@@ -373,8 +379,7 @@ def pnl_summary(s: Sample) -> DataFrame:
 
 @query
 def table_health(s: Sample) -> DataFrame:
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    return reports.table_health(s.spark, {n: f"{s.folder}/{n}.parquet" for n in names})
+    return reports.table_health(s.spark, {n: f"{s.folder}/{n}.parquet" for n in GIVEN_TABLES})
 
 
 @query

@@ -1,5 +1,6 @@
 """Landing files in, bronze rows out: batch, incremental, forced and evolving loads."""
 
+import os
 from datetime import date
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from deskrisk.functions import padded_id
 from deskrisk.sources import landing
 from deskrisk.sources.schemas import BRONZE
 from deskrisk.sources.seeds import read_seed
@@ -165,3 +167,49 @@ def test_fx_rates_from_newest_closes(spark):
     }
     with pytest.raises(landing.EmptyLoadError):
         landing.fx_rates_from_prices(prices.limit(0), F.lit("2026-08-03"))
+
+
+def test_old_files_are_loaded_and_all_rows_counted(spark, tmp_path):
+    """A backfilled file ten days older than the rest, one file per batch, and a short progress memory."""
+    root, table, progress = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "p")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for day in range(1, 5):
+            land(root, day, "A", f"2026-08-0{day},1,1,1,1,1,A,x")
+        assert ingest_incremental(landing_stream(spark, str(root), PRICES, max_files=1), table, progress) == 4
+        land(root, 6, "OLD", "2026-08-06,1,1,1,1,1,A,x")
+        path = root / "year=2026" / "month=08" / "day=06" / "OLD.csv"
+        old = path.stat().st_mtime - 10 * 86400
+        os.utime(path, (old, old))
+        assert ingest_incremental(landing_stream(spark, str(root), PRICES, max_files=1), table, progress) == 1
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert spark.read.parquet(table).count() == 5
+
+
+def test_rows_of_another_length_stop_the_load(spark, tmp_path):
+    land(tmp_path, 1, "A", "2026-08-01,1,1,1,1,1,A,x,EXTRA")
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
+        landing.read_landing(spark, str(tmp_path), PRICES).collect()
+
+
+def test_an_empty_or_interrupted_reload_keeps_the_old_table(spark, tmp_path):
+    table = str(tmp_path / "t")
+    landing.truncate_reload(spark.range(5), table)
+    with pytest.raises(landing.EmptyLoadError):
+        landing.truncate_reload(spark.range(0), table)
+    assert spark.read.parquet(table).count() == 5
+    with pytest.raises(PySparkException):
+        landing.full_refresh(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), table)
+    assert spark.read.parquet(table).count() == 5
+    os.rename(table, table + "__old")  # ended between the two renames
+    with pytest.raises(landing.EmptyLoadError):
+        landing.truncate_reload(spark.range(0), table)
+    assert spark.read.parquet(table).count() == 5
+
+
+def test_ids_longer_than_their_width_stay_whole(spark):
+    ids = spark.range(100_000_000, 100_000_020).union(spark.range(7, 8)).select(padded_id("T-", F.col("id"), 8).alias("i"))
+    found = {r.i for r in ids.collect()}
+    assert len(found) == 21 and {"T-100000019", "T-00000007"} <= found
