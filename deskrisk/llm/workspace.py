@@ -11,22 +11,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from deskrisk.operators.scratch import scratch_dir
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SHIPPED: set[str] = set()
 
 
 class Workspace:
-    """Tables of one run under ``spark.checkpoint.dir``, the folder all executors share.
+    """Tables of one run in the folder all executors share: ``spark.checkpoint.dir``, or the warehouse.
 
     A stored table cuts lineage: an executor lost later does not reach back past it.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        if not shared:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         self.spark = spark
-        self.folder = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.folder = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
@@ -72,7 +71,7 @@ def ship(spark: SparkSession) -> None:
     root = Path(deskrisk.__file__).parent
     archive = Path(tempfile.mkdtemp(prefix="deskrisk-")) / "deskrisk_llm.zip"  # the driver's own copy to send
     with zipfile.ZipFile(archive, "w") as packed:
-        for module in [root / "__init__.py", *sorted((root / "llm").glob("*.py"))]:
+        for module in sorted(root.rglob("*.py")):
             packed.write(module, module.relative_to(root.parent))
     context.addPyFile(str(archive))
     _SHIPPED.add(context.applicationId)
