@@ -128,6 +128,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
         # A function's argument: the words are made once for each text, not for each place in it.
         leaks_in = F.exists(F.array(words_of(F.col(text_col))), leaks.in_words)
         return docs.where(~leaks_in)
-    key = F.xxhash64(text_col)
     bad = leaks.occurrences(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).where("item is not null")
-    return docs.join(bad.select("key").distinct(), key == F.col("key"), "left_anti")
+    keys = bad.select(F.col("key").alias("__key")).distinct()
+    return docs.join(keys, F.xxhash64(text_col) == keys["__key"], "left_anti")
