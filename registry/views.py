@@ -28,7 +28,7 @@ SELECT t.*,
        CASE WHEN asset_class = 'Equity' THEN substr(upper(md5(trade_id)), 13, 9) END AS cusip,
        CASE asset_class WHEN 'FX' THEN 'FX_FORWARD' WHEN 'Equity' THEN 'EQUITY'
             WHEN 'Rates' THEN 'CORPORATE_BOND' ELSE 'CDS' END AS instrument_type
-FROM (SELECT concat('T-', lpad(CAST(l_orderkey AS VARCHAR), greatest(8, length(CAST(l_orderkey AS VARCHAR))), '0')) AS trade_id,
+FROM (SELECT concat('T-', lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(l_orderkey AS VARCHAR))) AS INT), '0')) AS trade_id,
              CASE c_mktsegment WHEN 'BUILDING' THEN 'FX Desk' WHEN 'MACHINERY' THEN 'Equity Desk'
                   WHEN 'AUTOMOBILE' THEN 'Rates Desk' WHEN 'HOUSEHOLD' THEN 'Credit Desk'
                   ELSE 'Macro Desk' END AS desk,
