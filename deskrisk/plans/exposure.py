@@ -12,9 +12,10 @@ from deskrisk.plans.book import trade_measures
 
 
 def latest_limits(limits: DataFrame) -> DataFrame:
-    """Most recently approved limit per desk; among equal days, the newest load."""
+    """Most recently approved limit per desk, whatever its case; among equal days, the newest load."""
     order = [c for c in ("approved_date", "_ingested_at") if c in limits.columns]
-    return latest_per_key(limits, ["desk"], order).select("desk", F.col("limit_usd").cast("double").alias("limit_usd"))
+    named = limits.withColumn("_desk", F.upper("desk"))
+    return latest_per_key(named, ["_desk"], order).select("desk", F.col("limit_usd").cast("double").alias("limit_usd"))
 
 
 def exposure_monitor(positions: DataFrame, limits: DataFrame, run_date: Column) -> DataFrame:

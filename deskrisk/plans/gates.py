@@ -23,6 +23,11 @@ def _distinct(column: str, name: str) -> Column:
     return F.countDistinct(column).alias(name)
 
 
+def _few(column: str, name: str) -> Column:
+    """Distinct values of a dimension, gathered map-side: a second COUNT(DISTINCT) would repeat every row."""
+    return F.size(F.collect_set(column)).cast("long").alias(name)
+
+
 def _nulls(**named: str) -> list[Column]:
     return [F.count_if(F.col(c).isNull()).alias(name) for name, c in named.items()]
 
@@ -40,8 +45,8 @@ def prices_gate(prices: DataFrame) -> DataFrame:
 
     profile = prices.agg(
         _rows(),
-        _distinct("ticker", "unique_tickers"),
-        _distinct("price_date", "unique_dates"),
+        _few("ticker", "unique_tickers"),
+        _few("price_date", "unique_dates"),
         F.min("price_date").alias("earliest_date"),
         F.max("price_date").alias("latest_date"),
         nulls("price_date", "null_price_date"),
@@ -70,8 +75,8 @@ def positions_gate(positions: DataFrame) -> DataFrame:
     profile = positions.agg(
         _rows(),
         _distinct("trade_id", "unique_trades"),
-        _distinct("desk", "unique_desks"),
-        _distinct("currency", "unique_currencies"),
+        _few("desk", "unique_desks"),
+        _few("currency", "unique_currencies"),
         *_nulls(
             null_trade_id="trade_id", null_notional_usd="notional_usd",
             null_fx_rate="fx_rate_vs_usd", null_net_exposure="net_exposure_usd",
@@ -103,8 +108,8 @@ def desk_breakdown(positions: DataFrame) -> DataFrame:
         positions.groupBy("desk")
         .agg(
             F.count(F.lit(1)).alias("position_count"),
-            _distinct("counterparty", "unique_counterparties"),
-            _distinct("asset_class", "unique_asset_classes"),
+            _few("counterparty", "unique_counterparties"),
+            _few("asset_class", "unique_asset_classes"),
             F.round(F.sum("notional_usd"), 2).alias("total_notional_usd"),
             F.round(F.sum("net_exposure_usd"), 2).alias("net_exposure_usd"),
             _count("long_positions", F.col("direction") == "LONG"),
@@ -130,8 +135,8 @@ def var_gate(var: DataFrame) -> DataFrame:
     """VaR must be present, positive and rise with the level; few scenarios only warn."""
     profile = var.agg(
         _rows(),
-        _distinct("desk", "unique_desks"),
-        _distinct("asset_class", "unique_asset_classes"),
+        _few("desk", "unique_desks"),
+        _few("asset_class", "unique_asset_classes"),
         _distinct("calculation_date", "unique_dates"),
         *_nulls(
             null_var_95="var_95_usd", null_var_97_5="var_97_5_usd", null_var_99="var_99_usd",
@@ -168,7 +173,7 @@ def pnl_gate(pnl: DataFrame) -> DataFrame:
     gap = F.col("unexplained_pnl_usd") - (F.col("actual_pnl_usd") - F.col("hypothetical_pnl_usd"))
     profile = pnl.agg(
         _rows(),
-        _distinct("desk", "unique_desks"),
+        _few("desk", "unique_desks"),
         _distinct("pnl_date", "unique_dates"),
         *_nulls(
             null_hypothetical="hypothetical_pnl_usd", null_actual="actual_pnl_usd",
@@ -195,7 +200,7 @@ def backtest_gate(backtest: DataFrame) -> DataFrame:
     zone, rolling = F.col("basel_zone"), F.col("rolling_250d_exceptions")
     profile = backtest.agg(
         _rows(),
-        _distinct("desk", "unique_desks"),
+        _few("desk", "unique_desks"),
         _distinct("backtest_date", "unique_dates"),
         *_nulls(
             null_var="var_97_5_usd", null_actual_loss="actual_loss_usd",
@@ -233,7 +238,7 @@ def exposure_gate(exposure: DataFrame) -> DataFrame:
     status, warns, breaches = F.col("limit_status"), F.col("warning_flag"), F.col("breach_flag")
     profile = exposure.agg(
         _rows(),
-        _distinct("desk", "unique_desks"),
+        _few("desk", "unique_desks"),
         *_nulls(
             null_gross_exposure="gross_exposure_usd", null_limit="limit_usd",
             null_utilisation="utilisation_pct", null_limit_status="limit_status",
@@ -274,7 +279,7 @@ def gold_summary(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
         df.agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
-            _distinct("desk", "unique_desks"),
+            _few("desk", "unique_desks"),
             F.max(date_col).alias("latest_date"),
         )
         for name, (df, date_col) in tables.items()

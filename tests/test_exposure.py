@@ -114,3 +114,9 @@ def test_no_breach_no_rows(spark, day):
     exposure = history(spark, {"D": [50.0, 60.0]})
     assert breach_episodes(exposure).isEmpty()
     assert breach_log_step(None, exposure, F.lit(FIRST)).isEmpty()
+
+
+def test_spellings_of_a_desk_share_one_limit(spark):
+    lines = [("FX Desk", 5.0, date(2026, 1, 1)), ("fx desk", 7.0, date(2026, 2, 1))]
+    out = latest_limits(spark.createDataFrame(lines, "desk string, limit_usd double, approved_date date"))
+    assert [r.limit_usd for r in out.collect()] == [7.0]

@@ -171,3 +171,15 @@ def test_load_audit(spark):
     b = spark.createDataFrame([(D1,)], "day date")
     out = gates.bronze_load_audit({"a": (a, "stamp"), "b": (b, "day")}).collect()
     assert [tuple(r) for r in out] == [("a", "l1", 2), ("a", "l2", 1), ("b", "2026-08-01", 1)]
+
+
+def test_gates_do_not_repeat_rows_for_several_distincts(spark):
+    trades = spark.createDataFrame(
+        [("T1", "FX Desk", "A", "FX", "USD", "LONG", 1.0, 1.0, 1, 1.0, None)],
+        "trade_id string, desk string, counterparty string, asset_class string, currency string, direction string, "
+        "notional_usd double, net_exposure_usd double, direction_multiplier int, fx_rate_vs_usd double, current_price double",
+    )
+    prices = spark.createDataFrame([("A", date(2026, 1, 1), 1.0)], "ticker string, price_date date, close_price double")
+    for df in (gates.positions_gate(trades), gates.desk_breakdown(trades), gates.prices_gate(prices), gates.silver_summary(prices, trades)):
+        assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert gates.positions_gate(trades).first().unique_desks == 1
