@@ -110,6 +110,27 @@ def test_line_dedup_equals_brute_force(docs, empty, by_id):
     assert line_dedup.near_duplicate_lines(empty).count() == 0 and line_dedup.remove_lines(empty).count() == 0
 
 
+def test_line_classes_and_links_reach_all_documents(spark):
+    a, b = [f"a{k}" for k in range(10)], [f"b{k}" for k in range(10)]
+    near = lambda w, k: " ".join([*w[:9], f"other{k}"])
+    texts = {
+        1: " ".join(a), 2: near(a, 1) + "\n" + " ".join(b), 3: near(b, 1),  # 3 reaches 1 by way of 2
+        4: near(b, 1) + "\n" + near(b, 1), 5: near(b, 1) + "\n" + "c d e",  # later copies of a linked set
+        6: "c d e", 7: "alone", 8: None,
+    }
+    sets = {i: {frozenset(x.split(" ")) for x in (t or "").split("\n") if x} for i, t in texts.items()}
+    match = lambda w, v: 10 * len(w & v) >= 8 * len(w | v)
+    every = set().union(*sets.values())
+    links = [(i, j) for i in sets for j in sets if j < i and any(match(w, v) for w in sets[i] for v in sets[j])]
+    got = found(line_dedup.near_duplicate_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    classes = {i: i for i in texts}
+    for _ in texts:
+        for i, j in links:
+            classes[i] = classes[j] = min(classes[i], classes[j])
+    assert {i: got[i].class_id for i in texts} == classes
+    assert {i: got[i].n_set_links for i in texts} == {i: sum(match(w, v) for w in sets[i] for v in every - {w}) for i in texts}
+
+
 def test_suffixes_equal_brute_force(docs, empty, by_id):
     got, seen = found(suffixes.remove_repeats(docs)), {}
     for i, t in by_id:
