@@ -5,7 +5,8 @@ blanks made single blanks, lines that only state a copyright left out. The diges
 canonical text, and of every line of it, is joined with the digests of known licence texts and
 notices, normalised in the same way.
 
-Known texts are a parameter; the table below is the default. It is broadcast only if it has
+Known texts are a parameter; the default are the notices below, the whole texts in ``licence_texts``,
+and MIT, ISC and BSD texts, under their usual titles. The table is broadcast only if it has
 ``MOST_KNOWN`` rows at most, else joined like any table.
 
 Defined results: a null or empty text holds no licence; rows equal in id and text are one
@@ -14,13 +15,16 @@ document; an empty table gives none; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MOST_KNOWN = 100_000
 
 # Names and texts of known notices and licences.
-KNOWN = (
+_NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
@@ -54,6 +58,37 @@ KNOWN = (
         "PERFORMANCE OF THIS SOFTWARE.",
     ),
 )
+# Usual titles over texts that have none of their own.
+TITLES = {
+    "MIT": ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)", "MIT", ""),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "BSD-2-Clause": ("", "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("", "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License", "BSD License", "The BSD License"),
+}
+_END = "END OF TERMS AND CONDITIONS"
+_HOLDERS = (("the University", "the copyright holder"), ("REGENTS AND", "COPYRIGHT HOLDERS AND"), ("REGENTS OR", "COPYRIGHT HOLDER OR"))
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """Names and whole texts, with their usual titles, and with and without what follows the terms."""
+    found = []
+    for path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):  # shipped with the package, read on the driver
+        text = path.read_text(encoding="utf-8", errors="replace")
+        texts = [text] + ([text[: text.index(_END) + len(_END)], text[: text.index(_END)]] if _END in text else [])
+        found += [(path.stem, t) for t in dict.fromkeys(v for t in texts for v in (t, t.replace("https://", "http://")))]
+    regents = next(t for name, t in found if name == "BSD-3-Clause")
+    holders = reduce(lambda t, pair: t.replace(*pair), _HOLDERS, regents)
+    singular = [*_NOTICES[-2:], ("BSD-3-Clause", regents), ("BSD-3-Clause", holders)]
+    for text in (regents, holders):
+        third, end = text.index("3. Neither"), text.index("THIS SOFTWARE IS")
+        singular.append(("BSD-2-Clause", text[:third] + text[end:]))
+    for name, text in singular:
+        body = text.removeprefix("MIT License\n\n")
+        found += [(name, f"{title}\n\n{body}") for title in TITLES[name]]
+    return found
+
+
+KNOWN = (*_NOTICES, *_whole_texts())
 # Equivalent spellings, as whole words after punctuation has become blanks.
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"),

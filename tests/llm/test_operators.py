@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -275,6 +276,22 @@ def test_licences(spark, docs, empty):
     assert licences.scan(empty).count() == 0
 
 
+def test_whole_licence_texts_are_known(spark):
+    folder = pathlib.Path(licences.__file__).parent / "licence_texts"
+    rows = [(p.stem, p.read_text(encoding="utf-8", errors="replace")) for p in sorted(folder.glob("*.txt"))]
+    assert len(rows) == 14
+    apache = dict(rows)["Apache-2.0"]
+    rows.append(("Apache-2.0", apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 A. Author")))
+    rows.append(("Apache-2.0", apache[: apache.index("APPENDIX")]))
+    mit = licences.KNOWN[9][1].removeprefix("MIT License")
+    rows += [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 A. Author" + mit), ("MIT", "Copyright (c) 2020 A. Author" + mit)]
+    bsd = dict(rows)["BSD-3-Clause"].replace("the University", "the copyright holder").replace("REGENTS AND", "COPYRIGHT HOLDERS AND")
+    rows.append(("BSD-3-Clause", "BSD 3-Clause License\n\n" + bsd.replace("REGENTS OR", "COPYRIGHT HOLDER OR")))
+    rows.append(("", apache + "and a word"))
+    got = found(licences.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")))
+    assert [got[i].whole_text for i in range(len(rows))] == [name for name, _ in rows]
+
+
 PLAIN = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
     "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
