@@ -9,7 +9,8 @@ The two sets travel with the plan while the benchmark has at most ``MOST_WINDOWS
 larger one is joined with the exploded document windows instead, with no hint.
 
 Defined results: a null text has no words; rows equal in id and text are one document; an empty
-table gives no rows; without benchmark rows nothing is contaminated; other columns are ignored.
+table gives no rows; without benchmark rows nothing is contaminated; an item without an id contaminates
+like any other, but is not among the items counted; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -99,9 +100,10 @@ class Leaks:
             return rows.select("id", "key", "n_words", *[F.lit(None).cast(t).alias(c) for c, t in (("at", "int"), ("length", "int"), ("item", "string"))])
         hits = rows.select("id", "key", "n_words", F.explode_outer(F.concat(*found)).alias("hit"))
         hits = hits.select("id", "key", "n_words", "hit.*")
-        windows = F.broadcast(self.windows) if self.small else self.windows
+        windows = self.windows.withColumn("held", F.lit(True))  # an item may be null
+        windows = F.broadcast(windows) if self.small else windows
         return hits.join(windows, ["length", "window"], "left").select(
-            "id", "key", "n_words", F.when(F.col("item").isNotNull(), F.col("at")).alias("at"), "length", "item"
+            "id", "key", "n_words", F.when(F.col("held"), F.col("at")).alias("at"), "length", "item"
         )
 
 
@@ -128,6 +130,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
         # A function's argument: the words are made once for each text, not for each place in it.
         leaks_in = F.exists(F.array(words_of(F.col(text_col))), leaks.in_words)
         return docs.where(~leaks_in)
-    bad = leaks.occurrences(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).where("item is not null")
+    bad = leaks.occurrences(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).where("at is not null")
     keys = bad.select(F.col("key").alias("__key")).distinct()
     return docs.join(keys, F.xxhash64(text_col) == keys["__key"], "left_anti")

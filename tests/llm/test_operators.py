@@ -248,6 +248,16 @@ def test_decontamination_equals_brute_force(docs, empty, by_id, benchmark, bench
     assert not found(contamination.find_leaks(docs, benchmark.limit(0)))[6].contaminated
 
 
+@pytest.mark.parametrize("most", [contamination.MOST_WINDOWS, 0])
+def test_items_without_an_id_contaminate(spark, most, monkeypatch):
+    monkeypatch.setattr(contamination, "MOST_WINDOWS", most)
+    docs = spark.createDataFrame([(1, "two of words here"), (2, "nothing")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "of words")], "item_id long, text string")
+    got = found(contamination.find_leaks(docs, items))
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2)] == [(2, 0, True), (0, 0, False)]
+    assert [r.doc_id for r in contamination.remove_contaminated(docs, items).collect()] == [2]
+
+
 def test_bpe_equals_the_public_library(docs, empty, corpus):
     tiktoken = pytest.importorskip("tiktoken")
     import base64
