@@ -183,3 +183,13 @@ def test_gates_do_not_repeat_rows_for_several_distincts(spark):
     for df in (gates.positions_gate(trades), gates.desk_breakdown(trades), gates.prices_gate(prices), gates.silver_summary(prices, trades)):
         assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert gates.positions_gate(trades).first().unique_desks == 1
+
+
+def test_values_without_a_bound_are_not_gathered_in_one_buffer(spark):
+    schema = "desk string, counterparty string, asset_class string, direction string, notional_usd double, net_exposure_usd double"
+    rows = [("a", f"c{k % 3}", "FX", "LONG", 1.0, 1.0) for k in range(7)] + [("a", None, "FX", "SHORT", 1.0, 1.0)]
+    found = gates.desk_breakdown(spark.createDataFrame(rows, schema))
+    assert "collect_set(counterparty" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.first().unique_counterparties == 3
+    prices = spark.createDataFrame([("2026-08-03", "T", 1.0)], "price_date string, ticker string, close_price double")
+    assert "collect_set(ticker" not in gates.prices_gate(prices)._jdf.queryExecution().optimizedPlan().toString()
