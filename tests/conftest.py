@@ -73,8 +73,3 @@ def closes(spark):
         return spark.createDataFrame(list(rows), "ticker string, price_date date, close_price double")
 
     return build
-
-
-def rows(df, *order):
-    """All rows as dicts, sorted."""
-    return [r.asDict() for r in df.orderBy(*(order or df.columns)).collect()]

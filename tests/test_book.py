@@ -4,7 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from deskrisk.operators import settle

@@ -4,7 +4,7 @@ import os
 from datetime import date
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from table_rows import rows
 
 from deskrisk.operators import checks
 from deskrisk.plans import gates

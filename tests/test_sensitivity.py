@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from table_rows import rows
 
 from deskrisk.plans.sensitivity import equity_sensitivity, fx_sensitivity, rates_credit_sensitivity
 

@@ -3,7 +3,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from deskrisk.plans.silver import latest_rates, positions_enriched, prices_cleaned

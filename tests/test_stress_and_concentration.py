@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from conftest import rows
+from table_rows import rows
 
 from deskrisk.operators import rank_rows, settle
 from deskrisk.plans.concentration import concentration_risk

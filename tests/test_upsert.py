@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 

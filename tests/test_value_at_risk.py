@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from deskrisk.plans.value_at_risk import daily_returns, var_backtest, var_daily
