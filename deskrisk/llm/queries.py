@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskrisk.llm import bytebpe, compact_windows, contamination, hmm, licences, line_dedup, quality, simhash, suffixes
+from deskrisk.llm import (
+    bytebpe, compact_windows, contamination, disclosure, hmm, licences, line_dedup, quality, simhash, suffixes,
+)
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
 from deskrisk.llm.sql import SQL
@@ -64,6 +66,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise(ledger.findings(docs))
 
 
+def op13_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.summarise(disclosure.find(_table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
