@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deskrisk.llm import (
-    bytebpe, compact_windows, contamination, disclosure, hmm, licences, line_dedup, quality, simhash, suffixes,
+    bytebpe, compact_windows, contamination, disclosure, hmm, licences, line_dedup, prefix_trie, quality, simhash, spelling, suffixes,
 )
 from deskrisk.llm.secret_scan import Ledger, summarise
 from deskrisk.llm.settings import vocabulary
@@ -66,6 +66,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise(ledger.findings(docs))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.summarise(disclosure.find(_table(spark, sf_dir, "documents")))
 
