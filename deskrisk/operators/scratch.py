@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Folders this application has written, until ``clear_scratch`` removes them.
 _WRITTEN: list[str] = []
@@ -41,6 +42,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_rows(df: DataFrame, folder: str, **measures: Column) -> dict:
+    """Write ``df`` and return ``rows`` and the measures, taken from the rows as they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()]).write.parquet(folder)
+    return seen.get
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder on whatever file system its path names."""
     location = spark._jvm.org.apache.hadoop.fs.Path(folder)
