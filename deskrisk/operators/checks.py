@@ -65,6 +65,20 @@ def column_checks(
     return counts.select(F.inline(F.array(*entries)))
 
 
+def write_rules(df: DataFrame, not_null: Sequence[str] = (), accepted: dict[str, Sequence] | None = None, **broken: Column) -> dict[str, Column]:
+    """Counts of offending rows by rule, to be taken while ``df`` is written (see ``refuse``)."""
+    rules = {f"not_null_{c}": F.col(c).isNull() for c in not_null}
+    rules |= {f"accepted_{c}": ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items() if c in df.columns}
+    return {name: F.count_if(rule) for name, rule in (rules | broken).items()}
+
+
+def refuse(seen: dict, what: str) -> None:
+    """Raise when a rule of ``write_rules`` counted rows; ``rows``, their number, is not a rule."""
+    bad = [f"{name}: {count}" for name, count in sorted(seen.items()) if name != "rows" and count]
+    if bad:
+        raise QualityError(f"{what}: " + "; ".join(bad))
+
+
 def verdict(rules: Sequence[tuple[str, Column]], otherwise: str = "PASS") -> Column:
     """Label of the first rule whose predicate holds."""
     chain = None

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from deskrisk.operators import merge_frames, merge_into, schema_guard
-from deskrisk.operators.upsert import DuplicateKeyError, SchemaDriftError, read_table
+from deskrisk.operators import upsert
+from deskrisk.operators.checks import QualityError
+from deskrisk.operators.files import Files
+from deskrisk.operators.upsert import DuplicateKeyError, SchemaDriftError, read_table, recover
 from deskrisk.sources.lake import Lake
 from deskrisk.sources.schemas import DATED, GOLD, KEYS, TABLES, UPDATES, business_columns
 
@@ -58,6 +61,62 @@ def test_stored_table_keeps_other_days_untouched(spark, tmp_path):
     assert not list((tmp_path / "t__stage").glob("*"))
 
 
+class Ended(BaseException):
+    """Stands for the end of a driver."""
+
+
+def test_a_merge_that_ended_is_completed_by_the_next(spark, tmp_path, monkeypatch):
+    """It ends between its commit record and the table; then another day is merged."""
+    path, keys = str(tmp_path / "t"), (["d", "k"], ["v"], "d")
+    merge_into(spark, path, table(spark, (D1, "a", 1.0, 1.0), (D2, "b", 2.0, 2.0)), *keys)
+
+    def ends(*args):
+        raise Ended
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "_publish", ends)
+        with pytest.raises(Ended):
+            merge_into(spark, path, table(spark, (D2, "b", 5.0, 9.0), (D2, "c", 6.0, 6.0)), *keys)
+    assert values(spark.read.parquet(path)) == [(D1, "a", 1.0, 1.0), (D2, "b", 2.0, 2.0)]
+    merge_into(spark, path, table(spark, (D3, "d", 7.0, 7.0)), *keys)
+    assert values(spark.read.parquet(path)) == [
+        (D1, "a", 1.0, 1.0), (D2, "b", 5.0, 2.0), (D2, "c", 6.0, 6.0), (D3, "d", 7.0, 7.0)
+    ]
+    assert not list((tmp_path / "t__stage").glob("*")) and recover(spark, path) == 0
+
+
+def test_a_merge_that_ended_before_its_commit_is_discarded(spark, tmp_path, monkeypatch):
+    path, keys = str(tmp_path / "t"), (["d", "k"], ["v"], "d")
+    merge_into(spark, path, table(spark, (D1, "a", 1.0, 1.0)), *keys)
+
+    def cut(self, record, text, replace=False):
+        written(self, record, text[:9])
+        raise Ended
+
+    written = Files.write
+    with monkeypatch.context() as patch:
+        patch.setattr(Files, "write", cut)
+        with pytest.raises(Ended):
+            merge_into(spark, path, table(spark, (D1, "a", 5.0, 9.0)), *keys)
+    assert recover(spark, path) == 0 and values(spark.read.parquet(path)) == [(D1, "a", 1.0, 1.0)]
+    assert not list((tmp_path / "t__stage").glob("*"))
+
+
+def test_older_rows_and_rows_that_break_a_rule_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_into(spark, path, table(spark, (D1, "a", 5.0, 2.0), (D1, "b", 5.0, None)), ["d", "k"], None, "d")
+    change = table(spark, (D1, "a", 6.0, 1.0), (D1, "b", 6.0, None), (D1, "c", 6.0, 3.0))
+    merge_into(spark, path, change, ["d", "k"], None, "d", newest_by=["w"])
+    want = [(D1, "a", 5.0, 2.0), (D1, "b", 6.0, None), (D1, "c", 6.0, 3.0)]
+    assert values(spark.read.parquet(path)) == want
+    with pytest.raises(QualityError, match="negative: 1"):
+        merge_into(spark, path, table(spark, (D1, "a", -1.0, 9.0)), ["d", "k"], None, "d", rules={"negative": F.count_if(F.col("v") < 0)})
+    with pytest.raises(ValueError, match="no d"):
+        merge_into(spark, path, table(spark, (None, "a", 1.0, 9.0)), ["d", "k"], None, "d")
+    merge_into(spark, path, table(spark).limit(0), ["d", "k"], None, "d")
+    assert values(spark.read.parquet(path)) == want and not list((tmp_path / "t__stage").glob("*"))
+
+
 def test_repeated_key_in_the_source_is_refused(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(DuplicateKeyError):
