@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from deskrisk.functions import normalise_ticker
+from deskrisk.sources.versions import EmptyLoadError, replace_table
 
 # Fixed format of a dated landing folder.
 DATED_GLOB = "year=*/month=*/day=*/*.csv"
 AUDIT = ("_source_file", "_ingested_at")
+# The text of a row that does not fit its file's header.
+LINE = "_line"
 
 
 class MissingInputError(FileNotFoundError):
     """An input file an earlier step should have written is not there."""
 
 
-class EmptyLoadError(RuntimeError):
-    """A load that must bring rows brought none."""
+class HeaderError(ValueError):
+    """The header of a file that must be loaded does not name the columns it should."""
 
 
 def text_schema(schema: StructType) -> StructType:
@@ -67,46 +72,95 @@ def read_landing(
     return typed(raw, schema)
 
 
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Header lines and the files that begin with each; files without a line have none.
+
+    The first line of a file is the first in its first block, so that no task needs a whole file.
+    What reaches the driver is a name and a line per file.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.where("block = 0 AND length(trim(value)) > 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        found.setdefault(r.header.lstrip("\ufeff"), []).append(r.file)
+    return found
+
+
+def header_columns(line: str) -> list[str]:
+    return [name.strip() for name in next(csv.reader([line]))]
+
+
+def header_problem(names: Sequence[str], schema: StructType, new_columns: bool) -> str | None:
+    """Why files with these columns cannot be taken; None when they can.
+
+    Without ``new_columns`` the header must name the columns of ``schema``, in any order.
+    """
+    lower = [n.lower() for n in names]
+    if any(not n or n.startswith("_") for n in lower):
+        return "a column name is empty or reserved"
+    if len(set(lower)) < len(lower):
+        return "a column name is repeated"
+    want = {f.name.lower() for f in schema if f.name not in AUDIT}
+    if not new_columns and (gap := want ^ set(lower)):
+        return "other columns than declared: " + ", ".join(sorted(gap))
+    return None
+
+
+def read_by_header(
+    spark: SparkSession, schema: StructType, headers: dict[str, list[str]], mode: str = "PERMISSIVE"
+) -> DataFrame:
+    """Rows of files with the columns their own headers name, matched regardless of case and order.
+
+    Columns of ``schema`` come first, typed, NULL where a file lacks them; others follow as text. A
+    row that has another number of fields, or a field that is not of its type, keeps its whole
+    text in ``_line`` (with ``mode="FAILFAST"`` it stops the load).
+    """
+    declared = {f.name.lower(): f for f in schema if f.name not in AUDIT}
+    parts = []
+    for header, files in headers.items():
+        fields = [declared.get(n.lower(), StructField(n, StringType())) for n in header_columns(header)]
+        raw = (
+            spark.read.schema(StructType([*fields, StructField(LINE, StringType())]))
+            .option("header", True)
+            .option("mode", mode)
+            .option("columnNameOfCorruptRecord", LINE)
+            .option("columnPruning", False)  # every field of a row is looked at, whatever is selected
+            .csv(files)
+        )
+        have = {f.name for f in fields}
+        parts.append(
+            raw.select(
+                *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in declared.values()],
+                *[F.col(f"`{f.name}`") for f in fields if f.name.lower() not in declared],
+                F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_ingested_at"), LINE,
+            )
+        )
+    if not parts:
+        known = [*declared.values(), *[StructField(n, t) for n, t in (("_source_file", StringType()), ("_ingested_at", TimestampType()), (LINE, StringType()))]]
+        return spark.createDataFrame([], StructType(known))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_required(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One CSV file or folder that must exist."""
+    """One CSV file or folder that must exist, its columns matched by the header.
+
+    A header without all declared columns, or a row that does not fit, is an error.
+    """
     try:
-        return (
-            spark.read.schema(text_schema(schema)).option("header", True).csv(path).transform(typed, schema)
-        )
+        headers = file_headers(spark, [path])
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise MissingInputError(f"{path} does not exist; did the step before it run?") from problem
         raise
-
-
-def replace_table(df: DataFrame, table_path: str, least_rows: int = 0) -> int:
-    """Write beside the table, count, then swap by renaming; returns the row count.
-
-    Should a run end between the two renames, the old table is found under its other name
-    and put back by the next call.
-    """
-    spark = df.sparkSession
-    path = table_path.rstrip("/")
-    staged, old = f"{path}__staged", f"{path}__old"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if files.exists(hadoop(old)):
-        if files.exists(hadoop(path)):
-            files.delete(hadoop(old), True)
-        else:
-            files.rename(hadoop(old), hadoop(path))
-    df.write.mode("overwrite").parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged).count()
-    if rows < least_rows:
-        files.delete(hadoop(staged), True)
-        raise EmptyLoadError(f"{table_path}: the reload brought no rows")
-    if files.exists(hadoop(path)):
-        files.rename(hadoop(path), hadoop(old))
-    if not files.rename(hadoop(staged), hadoop(path)):
-        raise OSError(f"{staged} could not be renamed")
-    files.delete(hadoop(old), True)
-    spark.catalog.refreshByPath(path)
-    return rows
+    for header in headers:
+        lacking = {f.name.lower() for f in schema if f.name not in AUDIT} - {n.lower() for n in header_columns(header)}
+        problem = header_problem(header_columns(header), schema, new_columns=True)
+        if lacking or problem:
+            raise HeaderError(f"{path}: {problem or 'lacks ' + ', '.join(sorted(lacking))}")
+    return read_by_header(spark, schema, headers, mode="FAILFAST").drop(LINE)
 
 
 def append(df: DataFrame, table_path: str) -> None:
@@ -123,7 +177,7 @@ def truncate_reload(df: DataFrame, table_path: str) -> int:
 
 
 def full_refresh(df: DataFrame, table_path: str) -> None:
-    """Rebuild a table from scratch; a job that fails leaves the old one."""
+    """Rebuild a table from scratch; a job that fails leaves the old one. See ``versions``."""
     replace_table(df, table_path)
 
 

@@ -7,12 +7,17 @@ import pytest
 from table_rows import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deskrisk.functions import padded_id
+from deskrisk.operators.files import Files
 from deskrisk.sources import landing
 from deskrisk.sources.schemas import BRONZE
 from deskrisk.sources.seeds import read_seed
-from deskrisk.streaming.ingest import ingest_incremental, landing_stream
+from deskrisk.sources.versions import POINTERS, current_folder, replace_table
+from deskrisk.streaming.ingest import (
+    COMMITS, FeedError, Loaded, ingest_evolving, ingest_incremental, read_ingested, read_rejects,
+)
 
 PRICES = BRONZE["market_prices"]
 HEADER = "date,open,high,low,close,volume,ticker,fetched_at\n"
@@ -46,16 +51,17 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     zone, table, progress = tmp_path / "zone", str(tmp_path / "bronze"), str(tmp_path / "progress")
 
     def load(**options):
-        return ingest_incremental(landing_stream(spark, str(zone), PRICES, **options), table, progress)
+        return ingest_incremental(spark, str(zone), PRICES, table, progress, **options)
 
     land(zone, 1, "A", "2026-08-01,1,1,1,1,1,A,x", "2026-08-02,1,1,1,2,1,A,x")
-    assert load() == 2
-    assert load() == 0
+    assert load() == Loaded(2, 0)
+    assert load() == Loaded(0, 0)
     land(zone, 2, "B", "2026-08-01,1,1,1,3,1,B,x")
     land(zone, 3, "C", "2026-08-01,1,1,1,4,1,C,x")
-    assert load(max_files=1) == 2
-    assert [r["Close"] for r in rows(spark.read.parquet(table), "Close")] == [1.0, 2.0, 3.0, 4.0]
-    assert spark.read.parquet(table).columns == PRICES.names
+    assert load(max_files=1) == Loaded(2, 0)
+    loaded = read_ingested(spark, table)
+    assert [r["Close"] for r in rows(loaded, "Close")] == [1.0, 2.0, 3.0, 4.0]
+    assert loaded.columns == PRICES.names
 
 
 def test_forced_reload_appends_again(spark, tmp_path):
@@ -77,7 +83,7 @@ def test_full_refresh_leaves_only_the_new_rows(spark, tmp_path):
     table = str(tmp_path / "t")
     landing.full_refresh(spark.range(5), table)
     landing.full_refresh(spark.range(5, 7), table)
-    assert [r["id"] for r in rows(spark.read.parquet(table))] == [5, 6]
+    assert [r["id"] for r in rows(spark.read.parquet(current_folder(spark, table)))] == [5, 6]
 
 
 def test_new_columns_are_admitted_and_changed_types_refused(spark, tmp_path):
@@ -177,15 +183,15 @@ def test_old_files_are_loaded_and_all_rows_counted(spark, tmp_path):
     try:
         for day in range(1, 5):
             land(root, day, "A", f"2026-08-0{day},1,1,1,1,1,A,x")
-        assert ingest_incremental(landing_stream(spark, str(root), PRICES, max_files=1), table, progress) == 4
+        assert ingest_incremental(spark, str(root), PRICES, table, progress, max_files=1).rows == 4
         land(root, 6, "OLD", "2026-08-06,1,1,1,1,1,A,x")
         path = root / "year=2026" / "month=08" / "day=06" / "OLD.csv"
         old = path.stat().st_mtime - 10 * 86400
         os.utime(path, (old, old))
-        assert ingest_incremental(landing_stream(spark, str(root), PRICES, max_files=1), table, progress) == 1
+        assert ingest_incremental(spark, str(root), PRICES, table, progress, max_files=1).rows == 1
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    assert spark.read.parquet(table).count() == 5
+    assert read_ingested(spark, table).count() == 5
 
 
 def test_rows_of_another_length_stop_the_load(spark, tmp_path):
@@ -194,22 +200,137 @@ def test_rows_of_another_length_stop_the_load(spark, tmp_path):
         landing.read_landing(spark, str(tmp_path), PRICES).collect()
 
 
-def test_an_empty_or_interrupted_reload_keeps_the_old_table(spark, tmp_path):
+def stored(spark, table):
+    return sorted(r.id for r in spark.read.parquet(current_folder(spark, table)).collect())
+
+
+def test_an_empty_or_failed_reload_keeps_the_old_table(spark, tmp_path):
     table = str(tmp_path / "t")
     landing.truncate_reload(spark.range(5), table)
     with pytest.raises(landing.EmptyLoadError):
         landing.truncate_reload(spark.range(0), table)
-    assert spark.read.parquet(table).count() == 5
     with pytest.raises(PySparkException):
         landing.full_refresh(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), table)
-    assert spark.read.parquet(table).count() == 5
-    os.rename(table, table + "__old")  # ended between the two renames
-    with pytest.raises(landing.EmptyLoadError):
-        landing.truncate_reload(spark.range(0), table)
-    assert spark.read.parquet(table).count() == 5
+    assert stored(spark, table) == [0, 1, 2, 3, 4]
+    # A table may be replaced by rows read from itself.
+    landing.full_refresh(spark.read.parquet(current_folder(spark, table)).where("id > 2"), table)
+    assert stored(spark, table) == [3, 4]
+
+
+class Ended(BaseException):
+    """Stands for the end of a driver."""
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_a_reader_finds_a_whole_table_wherever_a_reload_ends(spark, tmp_path, monkeypatch, step):
+    """The reload ends at its n-th call to the file system or to the writer; the next one succeeds."""
+    table = str(tmp_path / "t")
+    for n in (2, 3):
+        replace_table(spark.range(n), table)
+    calls = iter(range(100))
+
+    def counted(name, real):
+        def call(self, *args, **more):
+            if next(calls) == step:
+                if name == "write":  # a pointer that is cut short
+                    real(self, args[0], args[1][:5])
+                raise Ended
+            return real(self, *args, **more)
+        return call
+
+    for name in ("write", "delete", "names"):
+        monkeypatch.setattr(Files, name, counted(name, getattr(Files, name)))
+    ended = False
+    try:
+        replace_table(spark.range(7), table)
+    except Ended:
+        ended = True
+    monkeypatch.undo()
+    assert stored(spark, table) in (list(range(3)), list(range(7)))
+    replace_table(spark.range(4), table)
+    assert stored(spark, table) == [0, 1, 2, 3]
+    assert len([p for p in os.listdir(table) if p.startswith("v-")]) <= 3
+    assert ended or step > 3
 
 
 def test_ids_longer_than_their_width_stay_whole(spark):
     ids = spark.range(100_000_000, 100_000_020).union(spark.range(7, 8)).select(padded_id("T-", F.col("id"), 8).alias("i"))
     found = {r.i for r in ids.collect()}
     assert len(found) == 21 and {"T-100000019", "T-00000007"} <= found
+
+
+WANT = "date,ticker,close\n"
+CLOSES = StructType([f for f in PRICES if f.name in ("Date", "ticker", "Close", "_source_file", "_ingested_at")])
+
+
+def test_new_and_missing_columns_are_admitted_by_name(spark, tmp_path):
+    zone, table, progress = tmp_path / "zone", str(tmp_path / "t"), str(tmp_path / "p")
+
+    def load(**options):
+        return ingest_evolving(spark, str(zone), CLOSES, table, progress, **options)
+
+    land(zone, 1, "A", "2026-08-01,A,1.5", header=WANT)
+    assert load() == Loaded(1, 0)
+    land(zone, 2, "B", "2.5,x,2026-08-02,B", header="close,Note,date,ticker\n")
+    land(zone, 3, "C", "2026-08-03,C", header="date,ticker\n")
+    assert load() == Loaded(2, 0)
+    land(zone, 4, "D", "y,D,2026-08-04", header="NOTE,ticker,date\n")
+    assert load() == Loaded(1, 0)
+    loaded = read_ingested(spark, table)
+    assert loaded.columns == ["Date", "Close", "ticker", "_source_file", "_ingested_at", "Note"]
+    assert [(r["ticker"], r["Close"], r["Note"]) for r in rows(loaded, "Date")] == [
+        ("A", 1.5, None), ("B", 2.5, "x"), ("C", None, None), ("D", None, "y")
+    ]
+    with pytest.raises(FeedError):
+        ingest_evolving(spark, str(zone), CLOSES, table, str(tmp_path / "other"))
+
+
+def test_what_does_not_fit_is_a_reject_and_blocks_nothing(spark, tmp_path):
+    zone, table, progress = tmp_path / "zone", str(tmp_path / "t"), str(tmp_path / "p")
+    lines = ["2026-08-01,A,1.5", "2026-08-01,A,1.5,EXTRA", "2026-08-02", "2026-08-02,A,oops", "not a day,A,1", '2026-08-03,"A,B",']
+    land(zone, 1, "A", *lines, header=WANT)
+    land(zone, 2, "B", "2026-08-02,B,2,z", header="date,ticker,close,extra\n")
+    land(zone, 3, "C", "2026-08-02,B,2", header="date,ticker,Ticker\n")
+    (zone / "year=2026" / "month=08" / "day=03" / "empty.csv").write_text("")
+    assert ingest_incremental(spark, str(zone), CLOSES, table, progress) == Loaded(2, 6)
+    assert [(r["ticker"], r["Close"]) for r in rows(read_ingested(spark, table), "Date")] == [("A", 1.5), ("A,B", None)]
+    found = {(r.file.rsplit("/", 1)[1], r.text) for r in read_rejects(spark, table).collect()}
+    assert found == {("A.csv", x) for x in lines[1:5]} | {("B.csv", "date,ticker,close,extra"), ("C.csv", "date,ticker,Ticker")}
+    land(zone, 5, "E", "2026-08-09,E,9", header=WANT)
+    assert ingest_incremental(spark, str(zone), CLOSES, table, progress) == Loaded(1, 0)
+    assert read_ingested(spark, table).count() == 3
+
+
+def test_a_repeated_batch_replaces_what_it_left(spark, tmp_path, monkeypatch):
+    """A run ends after a batch's rows are written and before its commit; readers never see them twice."""
+    zone, table, progress = tmp_path / "zone", str(tmp_path / "t"), str(tmp_path / "p")
+    land(zone, 1, "A", "2026-08-01,A,1", header=WANT)
+    ingest_incremental(spark, str(zone), CLOSES, table, progress)
+    land(zone, 2, "B", "2026-08-02,B,2", "2026-08-03,B,2", header=WANT)
+
+    def ends(self, path, text, replace=False):
+        assert f"/{COMMITS}/" in path
+        raise RuntimeError("ended")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Files, "write", ends)
+        with pytest.raises(Exception, match="ended"):
+            ingest_incremental(spark, str(zone), CLOSES, table, progress)
+    assert read_ingested(spark, table).count() == 1
+    assert ingest_incremental(spark, str(zone), CLOSES, table, progress) == Loaded(2, 0)
+    assert read_ingested(spark, table).count() == 3
+
+
+def test_required_files_are_read_by_header_and_ragged_ones_refused(spark, tmp_path):
+    fx = BRONZE["fx_rates"]
+    path = tmp_path / "fx.csv"
+    path.write_text("as_of_date,generated_at,rate_vs_usd,currency\n2026-08-01,now,1.1,EUR\n")
+    r = landing.read_required(spark, str(path), fx).first()
+    assert (r.currency, r.rate_vs_usd, r.as_of_date) == ("EUR", 1.1, date(2026, 8, 1))
+    for line in ("EUR,1.1,2026-08-01,now,EXTRA", "EUR", "EUR,much,2026-08-01,now"):
+        path.write_text(f"currency,rate_vs_usd,as_of_date,generated_at\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED"):
+            landing.read_required(spark, str(path), fx).collect()
+    path.write_text("currency,rate\nEUR,1.1\n")
+    with pytest.raises(landing.HeaderError, match="rate_vs_usd"):
+        landing.read_required(spark, str(path), fx)
