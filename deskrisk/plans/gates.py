@@ -43,17 +43,29 @@ def prices_gate(prices: DataFrame) -> DataFrame:
     def nulls(column: str, name: str) -> Column:
         return F.sum(F.when(F.col(column).isNull(), 1)).alias(name)
 
-    profile = prices.agg(
-        _rows(),
+    # One row per key first: distinct keys, tickers and days all follow from these, and only one of
+    # them is left as a COUNT(DISTINCT), as a second one would repeat every row.
+    by_key = prices.groupBy("ticker", "price_date").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        nulls("close_price", "_null_close"),
+        F.count_if(F.col("close_price") <= 0).alias("_non_positive"),
+    )
+
+    def of(column: str, name: str) -> Column:
+        return F.sum(F.when(F.col(column).isNull(), F.col("_rows"))).alias(name)
+
+    whole_key = F.col("ticker").isNotNull() & F.col("price_date").isNotNull()
+    profile = by_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
         _distinct("ticker", "unique_tickers"),
-        _few("price_date", "unique_dates"),
+        _few("price_date", "unique_dates"),  # a calendar
         F.min("price_date").alias("earliest_date"),
         F.max("price_date").alias("latest_date"),
-        nulls("price_date", "null_price_date"),
-        nulls("ticker", "null_ticker"),
-        nulls("close_price", "null_close_price"),
-        (F.count(F.lit(1)) - F.countDistinct("price_date", "ticker")).alias("duplicate_rows"),
-        _count("non_positive_close_price", F.col("close_price") <= 0),
+        of("price_date", "null_price_date"),
+        of("ticker", "null_ticker"),
+        F.sum("_null_close").alias("null_close_price"),
+        (F.coalesce(F.sum("_rows"), F.lit(0)) - F.count_if(whole_key)).alias("duplicate_rows"),
+        F.coalesce(F.sum("_non_positive"), F.lit(0)).alias("non_positive_close_price"),
     )
     return profile.withColumn(
         "quality_status",

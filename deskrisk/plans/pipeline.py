@@ -5,30 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.operators import clear_scratch, settle, together
+from deskrisk.operators import clear_scratch, schema_guard, settle, together
 from deskrisk.operators.checks import (
     check_unique_combination,
     column_checks,
     run_checks,
     stop_on_fail,
+    write_rules,
 )
 from deskrisk.plans import gates
 from deskrisk.plans.book import position_book
 from deskrisk.plans.concentration import concentration_risk
 from deskrisk.plans.exposure import breach_log_step, exposure_monitor
+from deskrisk.plans.incremental import newest_closes, take_prices, take_trades
 from deskrisk.plans.pnl import pnl_attribution, risk_adjusted_performance
 from deskrisk.plans.sensitivity import equity_sensitivity, fx_sensitivity, rates_credit_sensitivity
-from deskrisk.plans.silver import positions_enriched, prices_cleaned
+from deskrisk.plans.silver import enrich
 from deskrisk.plans.stress import stress_testing
 from deskrisk.plans.summary import risk_summary
-from deskrisk.plans.value_at_risk import var_backtest, var_daily
+from deskrisk.plans.value_at_risk import backtest_step, backtest_window, var_backtest, var_daily
 from deskrisk.sources.lake import Lake
 from deskrisk.sources.landing import append, full_refresh, read_required, truncate_reload
-from deskrisk.sources.schemas import BRONZE, KEYS, SEEDS, TABLES
+from deskrisk.sources.schemas import BRONZE, DATED, KEYS, SEEDS, STATE, TABLES
 from deskrisk.sources.seeds import read_seed
-from deskrisk.streaming.ingest import ingest_incremental, landing_stream
+from deskrisk.sources.versions import replace_table
+from deskrisk.streaming.ingest import ingest_evolving
 
 # The closed domains the tables are checked against.
 LIGHTS = ("GREEN", "AMBER", "RED")
@@ -59,16 +63,26 @@ DOMAINS = {
 SILVER_KEYS = {"prices_cleaned": ("ticker", "price_date"), "positions_enriched": ("trade_id",)}
 
 
-def table_checks(lake: Lake, table: str, desks: tuple[str, ...]):
-    """Declared NOT NULL columns, closed domains and the key of one table."""
-    df = lake.read(table)
+def _domains(table: str, desks: tuple[str, ...]) -> tuple[list[str], dict]:
+    """Declared NOT NULL columns and closed domains of a table."""
     accepted = dict(DOMAINS.get(table, {}))
-    if "desk" in df.columns:
+    if "desk" in TABLES[table].names:
         accepted["desk"] = desks
-    not_null = [f.name for f in TABLES[table] if not f.nullable]
+    return [f.name for f in TABLES[table] if not f.nullable], accepted
+
+
+def table_rules(table: str, df: DataFrame, desks: tuple[str, ...]) -> dict[str, Column]:
+    """The same, to be counted while the table is written. Columns the write adds are not NULL."""
+    not_null, accepted = _domains(table, desks)
+    return write_rules(df, [c for c in not_null if c in df.columns], accepted)
+
+
+def table_checks(lake: Lake, table: str, desks: tuple[str, ...]):
+    """The same for a stored table, and its key: for audits, as a run does not need it."""
+    df = lake.read(table)
     return run_checks(
         [
-            column_checks(df, not_null, accepted),
+            column_checks(df, *_domains(table, desks)),
             check_unique_combination(df, KEYS.get(table) or SILVER_KEYS[table]),
         ]
     )
@@ -77,15 +91,14 @@ def table_checks(lake: Lake, table: str, desks: tuple[str, ...]):
 def load_bronze(lake: Lake, landing_root: str, progress_root: str) -> None:
     """Landing zone to bronze, each table in its own way.
 
-    Prices and positions take only files not loaded before. Rates are appended again on
-    every run. Limits and seeds are small and replaced as a whole; a limit file without
-    rows is an error.
+    Prices and positions take only files not loaded before, each by its own header; what does not
+    fit is among the table's rejects. Rates are appended again on every run. Limits and seeds are
+    small and replaced as a whole; a limit file without rows is an error.
     """
     spark, root = lake.spark, landing_root.rstrip("/")
 
     def incremental(table: str, folder: str) -> None:
-        stream = landing_stream(spark, f"{root}/{folder}", BRONZE[table])
-        ingest_incremental(stream, lake.path(table), f"{progress_root.rstrip('/')}/{table}")
+        ingest_evolving(spark, f"{root}/{folder}", BRONZE[table], lake.path(table), f"{progress_root.rstrip('/')}/{table}")
 
     rates, limits = (f"{root}/reference/{name}.csv" for name in ("fx_rates", "desk_limits"))
     together(
@@ -106,37 +119,61 @@ def load_bronze(lake: Lake, landing_root: str, progress_root: str) -> None:
     )
 
 
-def build_silver(lake: Lake, as_of: date) -> None:
-    lake.replace("prices_cleaned", prices_cleaned(lake.read("market_prices")))
-    lake.replace(
-        "positions_enriched",
-        positions_enriched(
-            lake.read("positions"), lake.read("fx_rates"), lake.read("prices_cleaned"), F.lit(as_of),
-            load_order=("generated_at", "_ingested_at"),
-        ),
+def build_silver(lake: Lake, as_of: date, desks: tuple[str, ...] = tuple(gates.DESK_CLASS)) -> None:
+    """New loads into prices and trades, then the trades in today's rates and prices.
+
+    What the gates forbid is counted while the rows are written, and a count above zero leaves the
+    table as it was. Keys are unique as both merges and the reduction to one row per key make them.
+    """
+    take_prices(lake)
+    take_trades(lake)
+    trades = lake.read("trades_latest")
+    enriched = enrich(trades, lake.read("fx_rates"), newest_closes(lake.read("month_closes")), F.lit(as_of))
+    rules = table_rules("positions_enriched", enriched, desks) | write_rules(
+        enriched, non_positive_notional=F.col("notional_usd") <= 0
     )
+    lake.replace("positions_enriched", enriched, rules)
 
 
 def check_silver(lake: Lake, desks: tuple[str, ...]) -> None:
+    """Whole silver against its gates, for audits: a run has counted the same while it wrote."""
     stop_on_fail(gates.prices_gate(lake.read("prices_cleaned")), "prices_cleaned")
     stop_on_fail(gates.positions_gate(lake.read("positions_enriched")), "positions_enriched")
     for table in SILVER_KEYS:
         stop_on_fail(table_checks(lake, table, desks), table)
 
 
-def build_gold(lake: Lake, run_date: date) -> None:
+def backtest(lake: Lake, run_date: date) -> DataFrame:
+    """The backtest of the run date, from the stored window of each desk; the window moves on with it.
+
+    A day before the newest one of the window changes the counts of the days after it, which are then
+    computed again from all of VaR and P&L.
+    """
+    day = F.lit(run_date)
+    var, pnl, window = lake.read("var_daily"), lake.read("pnl_attribution"), lake.read("backtest_window")
+    if window.where(F.col("backtest_date") > day).isEmpty():
+        rows, window = backtest_step(window, var, pnl, day)
+    else:
+        rows = settle(var_backtest(var, pnl), "backtest")
+        window, rows = backtest_window(rows), rows.where(F.col("backtest_date") >= day)
+    replace_table(schema_guard(window, STATE["backtest_window"]), lake.path("backtest_window"))
+    return rows
+
+
+def build_gold(lake: Lake, run_date: date, desks: tuple[str, ...] = tuple(gates.DESK_CLASS)) -> None:
     """Three waves; each merges its tables before the next one reads them.
 
     The trades are read twice in all: once for the book, once for concentration, which
-    also groups by counterparty.
+    also groups by counterparty. Of the prices, the months of the look-back are read.
     """
     day = F.lit(run_date)
     read = lake.read
+    prices, months = lake.prices(), read("month_closes")
     book = settle(position_book(read("positions_enriched")), "book")
     waves: list[dict[str, Callable]] = [
         {
-            "var_daily": lambda: var_daily(book, read("prices_cleaned"), day),
-            "pnl_attribution": lambda: pnl_attribution(book, read("prices_cleaned"), day),
+            "var_daily": lambda: var_daily(book, prices, day, months=months),
+            "pnl_attribution": lambda: pnl_attribution(book, prices, day, months=months),
             "exposure_monitor": lambda: exposure_monitor(book, read("desk_limits"), day),
             "fx_sensitivity": lambda: fx_sensitivity(book, day),
             "equity_sensitivity": lambda: equity_sensitivity(
@@ -148,10 +185,7 @@ def build_gold(lake: Lake, run_date: date) -> None:
             ),
         },
         {
-            # The window looks back only, so no day before the run date can change.
-            "var_backtest": lambda: var_backtest(read("var_daily"), read("pnl_attribution")).where(
-                F.col("backtest_date") >= day
-            ),
+            "var_backtest": lambda: backtest(lake, run_date),
             "stress_testing": lambda: stress_testing(
                 book, read("stress_scenarios"), read("var_daily"), read("desk_limits"), day
             ),
@@ -170,14 +204,32 @@ def build_gold(lake: Lake, run_date: date) -> None:
         },
     ]
     for wave in waves:
-        together({t: lambda t=t, m=m: lake.merge(t, m()) for t, m in wave.items()})
+        together({t: lambda t=t, m=m: _merge(lake, t, m(), desks) for t, m in wave.items()})
+
+
+def _merge(lake: Lake, table: str, df: DataFrame, desks: tuple[str, ...]) -> None:
+    lake.merge(table, df, table_rules(table, df, desks))
+
+
+GOLD_GATES = {
+    "var_daily": gates.var_gate, "pnl_attribution": gates.pnl_gate,
+    "var_backtest": gates.backtest_gate, "exposure_monitor": gates.exposure_gate,
+}
+
+
+def check_gold(lake: Lake, run_date: date) -> None:
+    """The gates over the run date and what was written after it; NOT NULL and domains were counted in the merges."""
+    def check(table: str) -> None:
+        rows = lake.read(table).where(F.col(DATED[table]) >= F.lit(run_date))  # a filter on its partitions
+        stop_on_fail(GOLD_GATES[table](rows), table)
+
+    together({table: lambda table=table: check(table) for table in GOLD_GATES})
 
 
-def check_gold(lake: Lake, desks: tuple[str, ...]) -> None:
-    stop_on_fail(gates.var_gate(lake.read("var_daily")), "var_daily")
-    stop_on_fail(gates.pnl_gate(lake.read("pnl_attribution")), "pnl_attribution")
-    stop_on_fail(gates.backtest_gate(lake.read("var_backtest")), "var_backtest")
-    stop_on_fail(gates.exposure_gate(lake.read("exposure_monitor")), "exposure_monitor")
+def audit_gold(lake: Lake, desks: tuple[str, ...]) -> None:
+    """All history of all gold tables against gates, domains and keys."""
+    for table, gate in GOLD_GATES.items():
+        stop_on_fail(gate(lake.read(table)), table)
     for table in KEYS:
         stop_on_fail(table_checks(lake, table, desks), table)
 
@@ -186,10 +238,9 @@ def run(lake: Lake, run_date: date, as_of: date | None = None, desks: tuple[str,
     """One day, from bronze to checked gold. Raises at the first failing gate, before
     anything after it is written; repeating a day gives the same tables. Run one day at
     a time per application, as the run removes the scratch tables it wrote."""
-    build_silver(lake, as_of or run_date)
-    check_silver(lake, desks)
     try:
-        build_gold(lake, run_date)
+        build_silver(lake, as_of or run_date, desks)
+        build_gold(lake, run_date, desks)
     finally:
         clear_scratch(lake.spark)
-    check_gold(lake, desks)
+    check_gold(lake, run_date)

@@ -11,15 +11,25 @@ from deskrisk.plans.book import trade_measures
 from deskrisk.plans.value_at_risk import desk_var
 
 
-def price_moves(prices: DataFrame, run_date: Column) -> DataFrame:
+def price_moves(prices: DataFrame, run_date: Column, months: DataFrame | None = None) -> DataFrame:
     """Return between the two newest days of each ticker up to ``run_date``.
 
-    NULL when there is only one day or the earlier close is zero.
+    NULL when there is only one day or the earlier close is zero. With ``months`` (``month_closes``),
+    only the month of the run date is read of the prices, which have it in ``price_month``; the two
+    newest days of each earlier month are in ``months``.
     """
     newest = W.partitionBy("ticker").orderBy(F.desc("price_date"))
+    day = run_date.cast("date")
+    closes = prices.where(F.col("price_date") <= day)
+    if months is not None:
+        month = F.trunc(day, "month")
+        days = [F.struct(F.col(f"{k}_date").alias("price_date"), F.col(f"{k}_close").alias("close_price")) for k in ("last", "prior")]
+        earlier = months.where(F.col("price_month") < month).select("ticker", F.inline(F.array(*days)))
+        closes = closes.where(F.col("price_month") == month).select("ticker", "price_date", "close_price").unionByName(
+            earlier.where("price_date IS NOT NULL")
+        )
     two = (
-        prices.where(F.col("price_date") <= run_date.cast("date"))
-        .select("ticker", "price_date", "close_price", F.dense_rank().over(newest).alias("_day"))
+        closes.select("ticker", "price_date", "close_price", F.dense_rank().over(newest).alias("_day"))
         .where("_day <= 2")
     )
     pivoted = two.groupBy("ticker").agg(
@@ -31,7 +41,9 @@ def price_moves(prices: DataFrame, run_date: Column) -> DataFrame:
     )
 
 
-def pnl_attribution(positions: DataFrame, prices: DataFrame, run_date: Column, noise: str = "hash") -> DataFrame:
+def pnl_attribution(
+    positions: DataFrame, prices: DataFrame, run_date: Column, noise: str = "hash", months: DataFrame | None = None
+) -> DataFrame:
     """Hypothetical, actual and unexplained P&L per desk.
 
     Trades whose ticker has no price are left out; a ticker with a single day counts
@@ -50,7 +62,7 @@ def pnl_attribution(positions: DataFrame, prices: DataFrame, run_date: Column, n
     )
     move = F.coalesce("daily_return", F.lit(0.0))
     return (
-        book.join(price_moves(prices, run_date), "ticker")
+        book.join(price_moves(prices, run_date, months), "ticker")
         .groupBy("desk")
         .agg(
             F.sum(F.col("_hypothetical") * move).alias("hypothetical_pnl_usd"),

@@ -76,7 +76,13 @@ def positions_enriched(
     the shuffle of the deduplication, and is broadcast if it turns out small. If it
     does not, the trades are shuffled by ticker and a hot ticker is split.
     """
-    trades = latest_per_key(bronze.where("trade_id IS NOT NULL"), ["trade_id"], load_order).select(
+    newest = latest_per_key(bronze.where("trade_id IS NOT NULL"), ["trade_id"], load_order)
+    return enrich(newest, fx_rates, None if prices is None else latest_prices(prices), as_of)
+
+
+def enrich(newest: DataFrame, fx_rates: DataFrame, closes: DataFrame | None, as_of: Column) -> DataFrame:
+    """``positions_enriched`` for one row per trade and one row per ticker (``latest_prices``)."""
+    trades = newest.select(
         *[
             F.col(c).cast("string").alias(c)
             for c in (
@@ -90,12 +96,12 @@ def positions_enriched(
         F.col("maturity_date").cast("date").alias("maturity_date"),
     )
     converted = trades.join(latest_rates(fx_rates), "currency")
-    if prices is None:
+    if closes is None:
         priced = converted.withColumns(
             {"current_price": F.lit(None).cast("double"), "latest_price_date": F.lit(None).cast("date")}
         )
     else:
-        priced = converted.join(latest_prices(prices), "ticker", "left")
+        priced = converted.join(closes, "ticker", "left")
     multiplier = direction_multiplier(F.col("direction"))
     rate = F.col("fx_rate_vs_usd")
     return priced.select(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskrisk.functions import same_text
+from deskrisk.operators import together
+from deskrisk.sources.lake import Lake
+from deskrisk.sources.schemas import TABLES
 
 ALL = "ALL"
 # The desks a report may be asked for.
@@ -89,6 +93,28 @@ def table_health(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(lines, "table_name string, row_count bigint, error string")
 
 
+def lake_health(lake: Lake) -> DataFrame:
+    """``table_health`` of every declared table, however it is written.
+
+    Each count is one job that reads footers on the executors; they run side by side, and what one
+    of them ends with is a row like any other.
+    """
+    def count(table: str) -> tuple:
+        try:
+            found = lake.find(table)
+            return (None, "MISSING") if found is None else (found.count(), None)
+        except PySparkException as problem:
+            return None, problem.getCondition() or type(problem).__name__
+        except Py4JJavaError as problem:  # a job that failed: its condition is the cause's
+            failure = problem.java_exception
+            return None, failure.getCondition() if hasattr(failure, "getCondition") else str(failure.getClass().getName())
+
+    counted = together({table: lambda table=table: count(table) for table in TABLES})
+    return lake.spark.createDataFrame(
+        [(table, *counted[table]) for table in TABLES], "table_name string, row_count bigint, error string"
+    )
+
+
 def desk_filter(df: DataFrame, desks: Iterable[str]) -> DataFrame:
     """Only the rows of the desks a reader may see."""
     return df.where(F.col("desk").isin(list(desks)))

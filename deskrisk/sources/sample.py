@@ -204,9 +204,9 @@ class Sample:
             .agg(F.sum(F.col("_signed") * move).alias("actual_pnl_usd"))
         )
 
-    def exposure_history(self, positions: DataFrame) -> DataFrame:
-        """Notional booked per month against a limit of 1.1 times the desk's mean month."""
-        monthly = positions.groupBy("desk", F.trunc("trade_date", "month").alias("as_of_date")).agg(
+    def exposure_history(self, positions: DataFrame, unit: str = "month") -> DataFrame:
+        """Notional booked per month (or other unit) against a limit of 1.1 times the desk's mean one."""
+        monthly = positions.groupBy("desk", F.trunc("trade_date", unit).alias("as_of_date")).agg(
             F.sum("notional_usd").alias("gross_exposure_usd")
         )
         limit = F.avg("gross_exposure_usd").over(W.partitionBy("desk")) * 1.1

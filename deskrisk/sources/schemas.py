@@ -171,6 +171,28 @@ SILVER = {
     ),
 }
 
+# What a day's run needs of the days before it, so that it need not read them.
+STATE = {
+    "month_closes": _table(
+        """
+        price_month  date!    first day of the month
+        ticker       string!  normalised symbol
+        last_date    date!    newest day with a price in the month
+        last_close   double!  its close
+        prior_date   date     the day with a price before it, if in the month
+        prior_close  double   its close
+        """
+    ),
+    "trades_latest": StructType([StructField("trade_bucket", IntegerType(), False), *BRONZE["positions"]]),
+    "backtest_window": _table(
+        """
+        desk           string!   owning desk
+        backtest_date  date!     run day
+        is_exception   boolean!  loss above VaR
+        """
+    ),
+}
+
 GOLD = {
     "var_daily": _table(
         """
@@ -408,8 +430,8 @@ GOLD = {
     ),
 }
 
-TABLES = {**BRONZE, **SEEDS, **SILVER, **GOLD}
-LAYERS = {"bronze": {**BRONZE, **SEEDS}, "silver": SILVER, "gold": GOLD}
+TABLES = {**BRONZE, **SEEDS, **SILVER, **STATE, **GOLD}
+LAYERS = {"bronze": {**BRONZE, **SEEDS}, "silver": SILVER, "state": STATE, "gold": GOLD}
 
 # Merge key of each gold table and the date column it is partitioned by.
 KEYS = {

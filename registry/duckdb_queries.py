@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from deskrisk.serving.charts import CHARTS, metric_name
-from deskrisk.sources.schemas import KEYS, business_columns
+from deskrisk.sources.schemas import KEYS, TABLES, business_columns
 from registry import outputs
 from registry.views import compose
 
@@ -75,6 +75,65 @@ SELECT symbol AS ticker, fetched_at, count(*) AS row_count, min(dt) AS first_dat
        CAST(0 AS BIGINT) AS without_file
 FROM bronze_prices GROUP BY ALL
 """
+SQL["ingest_evolving"] = """
+SELECT symbol AS ticker, count(*) AS row_count, count(c) AS closes, count(v) FILTER (WHERE fetched_at >= '1995-07') AS volumes,
+       sum(v) FILTER (WHERE fetched_at >= '1995-07') AS volume
+FROM bronze_prices GROUP BY ALL
+"""
+SQL["landing_rejects"] = """
+SELECT symbol AS ticker, count(*) FILTER (WHERE v NOT IN (1, 2)) AS loaded, count(*) FILTER (WHERE v IN (1, 2)) AS rejected
+FROM bronze_prices GROUP BY ALL
+"""
+SQL["full_refresh"] = "SELECT trade_id, desk, notional * 3 AS notional FROM bronze_trades"
+SQL["read_required"] = "SELECT desk, round(limit_usd, 2) AS limit_usd, approved_date FROM limits"
+SQL["landing_inventory"] = """
+SELECT DISTINCT concat('year=', fetched_at[1:4], '/month=', fetched_at[6:7], '/day=01') AS folder, 0 AS undated FROM bronze_prices
+"""
+_PRICE_COLUMNS = {
+    "Date": ("date", "dt"), "Open": ("double", "o"), "High": ("double", "h"), "Low": ("double", "l"), "Close": ("double", "c"),
+    "Volume": ("double", "v"), "ticker": ("string", "symbol"), "fetched_at": ("string", "fetched_at"),
+}
+_TRADE_TYPES = {"notional": "double", "trade_date": "date", "maturity_date": "date"}
+_TRADE_COLUMNS = (
+    "trade_id", "desk", "book_id", "trader_id", "counterparty", "asset_class", "instrument_type", "ticker", "isin", "cusip",
+    "direction", "notional", "currency", "trade_date", "maturity_date", "generated_at",
+)
+SQL["table_schemas"] = "\nUNION ALL ".join(
+    [
+        f"SELECT 'market_prices' AS table_name, '{name}' AS column_name, '{kind}' AS type, count({column}) AS values FROM bronze_prices"
+        for name, (kind, column) in _PRICE_COLUMNS.items()
+    ]
+    + [
+        f"SELECT 'positions', '{name}', '{_TRADE_TYPES.get(name, 'string')}', count({name}) FROM bronze_trades"
+        for name in _TRADE_COLUMNS
+    ]
+)
+SQL["schema_guard"] = "SELECT desk, count(*) AS trades, 3 AS refused FROM pos GROUP BY desk"
+SQL["noise_hash"] = "SELECT desk, count(*) AS row_count, count(*) AS within FROM bronze_trades GROUP BY desk"
+SQL["prices_incremental"] = """
+SELECT s.*, current_price, latest_price_date
+FROM px_restated s JOIN (SELECT ticker, arg_max(close_price, price_date) AS current_price, max(price_date) AS latest_price_date
+                         FROM px_restated GROUP BY ticker) USING (ticker)
+"""
+SQL["trades_incremental"] = """
+SELECT trade_id, desk, currency, CASE WHEN trade_id[-1] IN ('0', '2', '4', '6', '8') THEN notional * 2 ELSE notional END AS notional,
+       days_to_maturity FROM pos
+"""
+SQL["backtest_step"] = (
+    _select(business_columns("var_backtest"), outputs.places("var_backtest"), "var_backtest")
+    + " WHERE backtest_date = (SELECT max(backtest_date) FROM var_backtest)"
+)
+SQL["breach_log_step"] = _select(business_columns("limit_breach_log"), outputs.places("limit_breach_log"), "quarter_breach_log")
+SQL["stop_on_fail"] = """
+SELECT ticker, count(*) AS row_count, min(close_price) AS lowest_close, 1 AS refused FROM px GROUP BY ticker
+"""
+_HEALTHY = {"positions": "bronze_trades", "prices_cleaned": "px", "desk_limits": "limits"}
+SQL["lake_health"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {_HEALTHY[t]}"
+    if t in _HEALTHY
+    else f"SELECT '{t}', NULL, '{'FAILED_READ_FILE.NO_HINT' if t == 'var_daily' else 'MISSING'}'"
+    for t in sorted(TABLES, key=lambda t: t not in _HEALTHY)
+)
 SQL["reload_forced"] = """
 SELECT desk, round(limit_usd, 2) AS limit_usd, approved_date FROM limits
 UNION ALL SELECT desk, round(limit_usd, 2), approved_date FROM limits

@@ -10,18 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from deskrisk.functions import normalise_ticker
+from deskrisk.functions import normalise_ticker, trade_noise
 from deskrisk.operators import checks, merge_frames, merge_into, settle
+from deskrisk.operators import schema_guard as guard
 from deskrisk.operators.scratch import scratch_dir
-from deskrisk.plans import gates
+from deskrisk.operators.upsert import SchemaDriftError
+from deskrisk.plans import gates, incremental
+from deskrisk.plans.exposure import breach_log_step as step_breaches
 from deskrisk.plans.sample_gold import SampleGold
+from deskrisk.plans.silver import enrich
+from deskrisk.plans.value_at_risk import backtest_step as step_backtest
+from deskrisk.plans.value_at_risk import backtest_window, var_backtest
 from deskrisk.serving import reports
 from deskrisk.serving.charts import CHARTS, chart_query
 from deskrisk.sources import landing
+from deskrisk.sources.lake import Lake
 from deskrisk.sources.sample import DESKS, RUN_DATE, Sample
-from deskrisk.sources.schemas import BRONZE, DATED, KEYS
+from deskrisk.sources.schemas import BRONZE, DATED, KEYS, SILVER, TABLES, business_columns
 from deskrisk.sources.seeds import read_seed
-from deskrisk.streaming.ingest import ingest_incremental, landing_stream
+from deskrisk.sources.versions import current_folder
+from deskrisk.streaming.ingest import ingest_evolving, ingest_incremental, read_ingested, read_rejects
 from registry import outputs
 from registry.duckdb_queries import GIVEN_TABLES
 
@@ -152,8 +160,48 @@ def ingest_incremental_files(s: Sample) -> DataFrame:
     folder, schema = _landed_prices(s)
     table, checkpoint = folder_for(s.spark, "bronze"), folder_for(s.spark, "progress")
     for _ in range(2):
-        ingest_incremental(landing_stream(s.spark, folder, schema), table, checkpoint)
-    return _by_ticker(s.spark.read.parquet(table))
+        ingest_incremental(s.spark, folder, schema, table, checkpoint)
+    return _by_ticker(read_ingested(s.spark, table))
+
+
+_CLOSES = StructType([f for f in BRONZE["market_prices"] if f.name in ("Date", "Close", "ticker")])
+
+
+@query
+def ingest_evolving_files(s: Sample) -> DataFrame:
+    """A first batch without volumes, a second one with them and in another order."""
+    folder, table, checkpoint = (folder_for(s.spark, n) for n in ("landing", "bronze", "progress"))
+    day = F.to_date("fetched_at", "yyyy-MM").alias("run_date")
+    rows = s.market_prices.select("Date", "Close", "ticker", "Volume", day)
+    early = F.col("run_date") < F.lit("1995-07-01").cast("date")
+    for part in (rows.where(early).drop("Volume"), rows.where(~early).select("Volume", "ticker", "Close", "Date", "run_date")):
+        landing.write_landing(part, folder, "run_date")
+        ingest_evolving(s.spark, folder, _CLOSES, table, checkpoint)
+    return read_ingested(s.spark, table).groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("Close").alias("closes"),
+        F.count("Volume").alias("volumes"), F.sum(F.col("Volume").cast("double")).alias("volume"),
+    )
+
+
+@query
+def landing_rejects(s: Sample) -> DataFrame:
+    """Rows of volume 1 have a field too many, rows of volume 2 one too few."""
+    folder, table, checkpoint = (folder_for(s.spark, n) for n in ("landing", "bronze", "progress"))
+    fields = [F.col("ticker"), F.col("Date").cast("string")]
+    close = F.coalesce(F.col("Close").cast("string"), F.lit(""))
+    line = (
+        F.when(F.col("Volume") == 1, F.concat_ws(",", *fields, close, F.lit("EXTRA")))
+        .when(F.col("Volume") == 2, F.concat_ws(",", *fields))
+        .otherwise(F.concat_ws(",", *fields, close))
+    )
+    lines = s.market_prices.select(line.alias("ticker,Date,Close"))
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(folder)
+    ingest_incremental(s.spark, folder, _CLOSES, table, checkpoint, pattern="*.csv")
+    loaded = read_ingested(s.spark, table).select("ticker", F.lit(0).alias("reject"))
+    rejects = read_rejects(s.spark, table).select(F.split_part("text", F.lit(","), F.lit(1)).alias("ticker"), F.lit(1).alias("reject"))
+    return loaded.unionByName(rejects).groupBy("ticker").agg(
+        F.count_if(F.col("reject") == 0).alias("loaded"), F.count_if(F.col("reject") == 1).alias("rejected")
+    )
 
 
 @query
@@ -172,7 +220,180 @@ def truncate_reload(s: Sample) -> DataFrame:
     first = s.positions.select("trade_id", "desk", "notional")
     landing.truncate_reload(first, table)
     landing.truncate_reload(first.withColumn("notional", F.col("notional") * 2), table)
-    return s.spark.read.parquet(table)
+    return s.spark.read.parquet(current_folder(s.spark, table))
+
+
+@query
+def full_refresh(s: Sample) -> DataFrame:
+    """Refreshed twice; a load without rows in between leaves the table as it is."""
+    table = folder_for(s.spark, "bronze")
+    trades = s.positions.select("trade_id", "desk", "notional")
+    landing.full_refresh(trades, table)
+    try:
+        landing.truncate_reload(trades.where("desk IS NULL"), table)
+    except landing.EmptyLoadError:
+        held = s.spark.read.parquet(current_folder(s.spark, table))
+        landing.full_refresh(held.withColumn("notional", F.col("notional") * 3), table)
+    return s.spark.read.parquet(current_folder(s.spark, table))
+
+
+@query
+def read_required(s: Sample) -> DataFrame:
+    """Limits from a file whose columns are in another order than declared."""
+    schema, folder = BRONZE["desk_limits"], folder_for(s.spark, "limits")
+    rows = s.desk_limits
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in (*rows.columns, *landing.AUDIT)}
+    rows.withColumns(lacking).select(*reversed([f.name for f in schema if f.name not in landing.AUDIT])).write.option("header", True).csv(folder)
+    loaded = landing.read_required(s.spark, folder, schema)
+    return loaded.select("desk", F.round("limit_usd", 2).alias("limit_usd"), "approved_date")
+
+
+@query
+def landing_inventory(s: Sample) -> DataFrame:
+    """Folders of the landing zone that hold files, and whether any is empty."""
+    folder, _ = _landed_prices(s)
+    files = landing.landing_inventory(s.spark, folder, "year=").where(F.col("filename").endswith(".csv"))
+    return files.groupBy(F.regexp_extract("filename", "^(.*)/", 1).alias("folder")).agg(
+        F.count_if(F.col("last_modified").isNull()).alias("undated")
+    )
+
+
+# ----------------------------------------------------------------- declared tables
+
+
+@query
+def table_schemas(s: Sample) -> DataFrame:
+    """Declared type of each column of the two large bronze tables, and its values that are not NULL."""
+    parts = []
+    for name, rows in (("market_prices", s.market_prices), ("positions", s.positions)):
+        fields = [f for f in TABLES[name] if f.name in rows.columns]
+        typed = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+        counts = typed.agg(*[F.count(f.name).alias(f.name) for f in fields])
+        lines = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("values")) for f in fields]
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*lines))))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def schema_guard(s: Sample) -> DataFrame:
+    """Trades by desk behind the guard, which puts columns in order, and how many drifted variants it refused."""
+    held, schema = s.positions_enriched, StructType(SILVER["positions_enriched"].fields[:-1])
+    guarded = guard(held.select(*reversed(held.columns)), schema)
+    refused = 0
+    for drifted in (held.drop("notional"), held.withColumn("extra", F.lit(1)), held.withColumn("notional", F.col("notional").cast("string"))):
+        try:
+            guard(drifted, schema)
+        except SchemaDriftError:
+            refused += 1
+    return guarded.groupBy("desk").agg(F.count(F.lit(1)).alias("trades"), F.lit(refused).alias("refused"))
+
+
+@query
+def noise_hash(s: Sample) -> DataFrame:
+    """The engine's own hash as noise: how many load rows of a desk stay within a hundredth of one."""
+    noise = trade_noise(F.col("trade_id"))
+    return s.positions.groupBy("desk").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(noise.between(0.9901, 1.0099)).alias("within")
+    )
+
+
+# --------------------------------------------------------------------- incremental
+
+
+def _lake(s: Sample) -> Lake:
+    return Lake(s.spark, folder_for(s.spark, "lake"))
+
+
+def _land(s: Sample, lake: Lake, table: str, rows: DataFrame, part: str) -> None:
+    """One more landing file set for ``table``, ingested."""
+    folder = f"{lake.root}/landing/{table}"
+    rows.write.option("header", True).csv(f"{folder}/{part}")
+    ingest_evolving(s.spark, folder, BRONZE[table], lake.path(table), f"{lake.root}/progress/{table}", pattern="*/*.csv")
+
+
+@query
+def prices_incremental(s: Sample) -> DataFrame:
+    """Prices up to 1997 at twice their value, then all from mid-1996 on as they are; each load merged alone."""
+    lake, names = _lake(s), [f.name for f in BRONZE["market_prices"] if f.name not in landing.AUDIT]
+    cleaned = settle(s.prices_cleaned, "cleaned")
+    vendor = cleaned.select("price_date", *[f"{k}_price" for k in ("open", "high", "low", "close")], "volume", "ticker", "fetched_at").toDF(*names)
+    doubled = vendor.withColumns({k: F.col(k) * 2 for k in ("Open", "High", "Low", "Close")})
+    for part, rows in (("a", doubled.where("Date < '1997-01-01'")), ("b", vendor.where("Date >= '1996-06-10'"))):
+        _land(s, lake, "market_prices", rows, part)
+        incremental.take_prices(lake)
+    closes = incremental.newest_closes(lake.read("month_closes"))
+    return lake.read("prices_cleaned").join(closes, "ticker").select("price_date", "ticker", "close_price", "volume", "current_price", "latest_price_date")
+
+
+@query
+def trades_incremental(s: Sample) -> DataFrame:
+    """All trades, then half of them again with a newer stamp, the rest with an older one: only the newer count."""
+    lake, names = _lake(s), [f.name for f in BRONZE["positions"] if f.name not in landing.AUDIT]
+    held = settle(s.positions_unpriced, "trades").withColumn("generated_at", F.lit("2001-06-01"))
+    lacking = {n: F.lit(None).cast("string") for n in names if n not in held.columns}
+    trades = held.withColumns(lacking).select(*names)
+    even = F.substring("trade_id", -1, 1).isin("0", "2", "4", "6", "8")
+    again = trades.withColumns(
+        {"notional": F.col("notional") * 2, "generated_at": F.when(even, "2001-07-01").otherwise("2001-05-01")}
+    )
+    for part, rows in (("a", trades), ("b", again)):
+        _land(s, lake, "positions", rows, part)
+        incremental.take_trades(lake, buckets=8)
+    rates = s.fx_rates
+    enriched = enrich(lake.read("trades_latest"), rates, None, s.run_date)
+    return enriched.select("trade_id", "desk", "currency", "notional", "days_to_maturity")
+
+
+@query
+def backtest_step(s: Sample) -> DataFrame:
+    """The last day with P&L, from the window of the days before it alone."""
+    gold = SampleGold(s)
+    history = settle(s.pnl_history(gold.book, gold.prices), "pnl-history")
+    var = gold.var_daily.select("desk", "asset_class", "var_97_5_usd")
+    last = history.agg(F.max("pnl_date")).scalar()
+    days = settle(history.select("desk", F.col("pnl_date").alias("calculation_date")).join(var, "desk"), "var-history")
+    before = var_backtest(days.where(F.col("calculation_date") < last), history)
+    rows, _ = step_backtest(backtest_window(before), days, history, last)
+    return rounded(rows, outputs.places("var_backtest"))
+
+
+@query
+def breach_log_step(s: Sample) -> DataFrame:
+    """The breach log of quarterly exposures, stepped from quarter to quarter through a stored table."""
+    lake = _lake(s)
+    history = settle(s.exposure_history(s.positions_unpriced, "quarter"), "exposure-quarters")
+    for day in [r.as_of_date for r in history.select("as_of_date").distinct().orderBy("as_of_date").collect()]:
+        lake.merge("limit_breach_log", step_breaches(lake.find("limit_breach_log"), history, F.lit(day)))
+    names = business_columns("limit_breach_log")
+    return rounded(lake.read("limit_breach_log").select(*names), outputs.places("limit_breach_log"))
+
+
+@query
+def stop_on_fail(s: Sample) -> DataFrame:
+    """Prices are replaced behind their rules; a load with a close below zero is refused and leaves them."""
+    lake, prices = _lake(s), settle(s.prices_cleaned, "cleaned")
+    rules = checks.write_rules(prices, ["ticker", "close_price"], non_positive_close_price=F.col("close_price") <= 0)
+    lake.replace("prices_cleaned", prices, rules)
+    refused = 0
+    try:
+        lake.replace("prices_cleaned", prices.withColumn("close_price", -F.col("close_price")), rules)
+    except checks.QualityError:
+        refused = 1
+    return lake.read("prices_cleaned").groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("close_price").alias("lowest_close"), F.lit(refused).alias("refused")
+    )
+
+
+@query
+def lake_health(s: Sample) -> DataFrame:
+    """Tables written in three ways, one whose files are no Parquet, and those not there."""
+    lake = _lake(s)
+    landing.append(s.positions.select("trade_id", "desk"), lake.path("positions"))
+    lake.replace("prices_cleaned", s.prices_cleaned)
+    limits = s.desk_limits.select("desk", "limit_usd")
+    landing.truncate_reload(limits, lake.path("desk_limits"))
+    s.table("region").select("r_name").write.text(lake.path("var_daily"))
+    return reports.lake_health(lake)
 
 
 @query
@@ -390,5 +611,8 @@ def desk_filter(s: Sample) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     """By the survey's key names."""
-    renamed = {"ingest_incremental_files": "ingest_incremental", "read_seed_file": "read_seed"}
+    renamed = {
+        "ingest_incremental_files": "ingest_incremental", "ingest_evolving_files": "ingest_evolving",
+        "read_seed_file": "read_seed",
+    }
     return {renamed.get(name, name): run for name, run in QUERIES.items()}

@@ -99,6 +99,13 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, dt
 WHERE rn = 1
 """
 
+# Two loads: up to 1997 at twice the price, then from mid-1996 on as it is.
+VIEWS["px_restated"] = """
+SELECT price_date, ticker, volume,
+       CASE WHEN price_date < DATE '1996-06-10' THEN close_price * 2 ELSE close_price END AS close_price
+FROM px
+"""
+
 VIEWS["px_last"] = """
 SELECT ticker, max(price_date) AS latest_price_date, arg_max(close_price, price_date) AS current_price
 FROM px GROUP BY ticker
@@ -382,6 +389,14 @@ FROM (SELECT desk, min(as_of_date) AS breach_start_date, max(as_of_date) AS last
       GROUP BY desk, island)
 """
 
+# The same log of quarterly exposures.
+_QUARTERS = {"'month'": "'quarter'", "exposure_history": "exposure_quarters", "run_days": "quarter_days"}
+for _view in ("exposure_history", "run_days", "limit_breach_log"):
+    _body = VIEWS[_view]
+    for _month, _quarter in _QUARTERS.items():
+        _body = _body.replace(_month, _quarter)
+    VIEWS[_QUARTERS.get(_view, "quarter_breach_log")] = _body
+
 VIEWS["risk_adjusted_performance"] = """
 SELECT DATE '2001-12-31' AS calculation_date, p.desk, actual_pnl_usd, v.var_99_usd,
        CASE WHEN v.var_99_usd > 0 THEN round(actual_pnl_usd / v.var_99_usd, 4) END AS pnl_to_var_ratio,

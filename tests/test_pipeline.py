@@ -80,8 +80,8 @@ def test_all_tables_are_filled_and_typed(lake):
         assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in TABLES[table]]
         assert df.where(F.col("_gold_loaded_at").isNull()).isEmpty()
     assert lake.read("positions_enriched").count() == 80
-    health = reports.table_health(lake.spark, lake.paths())
-    assert health.count() == 20 and health.where("row_count IS NULL OR row_count = 0").isEmpty()
+    health = reports.lake_health(lake)
+    assert health.count() == 23 and health.where("row_count IS NULL OR row_count = 0").isEmpty()
 
 
 def test_summary_agrees_with_its_sources(lake):
@@ -111,7 +111,7 @@ def test_repeating_a_day_changes_nothing_and_a_new_day_adds(lake):
 def test_a_failing_gate_stops_before_gold(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     fill(lake, bad_price=True)
-    with pytest.raises(QualityError, match="non-positive close_price"):
+    with pytest.raises(QualityError, match="non_positive_close_price: 1"):
         run(lake, RUN)
     assert lake.find("var_daily") is None
 

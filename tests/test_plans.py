@@ -2,19 +2,27 @@
 
 import os
 import re
+from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from table_rows import rows
 
 from deskrisk.plans.concentration import exposure_cube
 from deskrisk.plans.exposure import exposure_monitor
-from deskrisk.plans.pnl import pnl_attribution
+from deskrisk.plans.gates import prices_gate
+from deskrisk.plans.incremental import fresh, take_prices
+from deskrisk.plans.pnl import pnl_attribution, price_moves
 from deskrisk.plans.sensitivity import fx_sensitivity, rates_credit_sensitivity
 from deskrisk.plans.silver import positions_enriched, prices_cleaned
 from deskrisk.plans.stress import stress_testing
 from deskrisk.plans.value_at_risk import daily_returns, var_daily
 from deskrisk.serving.reports import newest
+from deskrisk.sources.lake import Lake
 from deskrisk.sources.sample import Sample
 from deskrisk.sources.schemas import TABLES
+from deskrisk.streaming.ingest import ingest_evolving
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -130,3 +138,53 @@ def test_no_python_workers_and_no_collecting_aggregates():
             text = text.replace("F.size(F.collect_set(column))", "")
         for banned in ("pandas_udf", "applyIn", "mapIn", ".rdd", "collect_list", "collect_set", "toPandas", "localCheckpoint"):
             assert banned not in text, (source.name, banned)
+
+
+def test_price_gate_repeats_no_row(stored):
+    assert "Expand" not in plan(prices_gate(stored("prices_cleaned")))
+
+
+@pytest.fixture(scope="module")
+def by_month(spark, tmp_path_factory):
+    """Three years of prices in a lake, ingested in two batches and taken by silver."""
+    root = str(tmp_path_factory.mktemp("months"))
+    lake = Lake(spark, f"{root}/lake")
+    for part, first in (("a", date(2023, 1, 1)), ("b", date(2025, 12, 20))):
+        days = [first + timedelta(days=k) for k in range(0, 1085 if part == "a" else 12)]
+        lines = [(d, 1.0, 1.0, 1.0, 5.0 + d.day + len(t), None, t, part) for d in days for t in ("AA", "BBB")]
+        lines += [(date(2023, 5, 1) + timedelta(days=k), 1.0, 1.0, 1.0, 9.0 + k, None, "STALE", part) for k in range(40)]
+        names = [f for f in TABLES["market_prices"] if not f.name.startswith("_")]
+        spark.createDataFrame(lines, StructType(names)).write.option("header", True).csv(f"{root}/zone/{part}")
+        ingest_evolving(spark, f"{root}/zone", TABLES["market_prices"], lake.path("market_prices"), f"{root}/progress", pattern="*/*.csv")
+        note = fresh(lake, "market_prices", "prices_cleaned")
+        if part == "b":
+            lake.waiting = note[0]
+        take_prices(lake)
+    return lake
+
+
+def test_a_days_run_reads_no_old_bronze_file(by_month):
+    kept = re.search(r"PartitionFilters: \[([^\]]*)\]", plan(by_month.waiting))[1]
+    assert re.search(r"\(_batch#\w+ > 0\)", kept), kept
+    assert by_month.waiting.count() == 24 + 40
+
+
+def test_price_scans_are_pruned_to_months_at_run_time(by_month, day):
+    prices, months = by_month.prices(), by_month.read("month_closes")
+    for df in (daily_returns(prices, months=months), price_moves(prices, day, months)):
+        scans = [s for s in re.findall(r"PartitionFilters: \[([^\]]*)\][^\n]*", plan(df))]
+        of_prices = [s for s in re.findall(r"FileScan parquet [^\n]*", plan(df)) if "prices_cleaned" in s]
+        assert of_prices and scans
+        for scan in of_prices:
+            assert "price_month" in re.search(r"PartitionFilters: \[([^\]]*)\]", scan)[1], scan
+
+
+@pytest.mark.parametrize("as_of", [None, date(2025, 3, 14), date(2023, 6, 5)])
+def test_months_give_the_same_returns_and_moves(by_month, as_of):
+    prices, months = by_month.prices(), by_month.read("month_closes")
+    limit = None if as_of is None else F.lit(as_of)
+    for days in (365, 20):
+        want = rows(daily_returns(prices, days, limit))
+        assert want and rows(daily_returns(prices, days, limit, months)) == want
+    run_date = F.lit(as_of or date(2026, 1, 2))
+    assert rows(price_moves(prices, run_date, months)) == rows(price_moves(prices, run_date))
