@@ -111,6 +111,15 @@ def test_line_dedup_equals_brute_force(docs, empty, by_id):
     assert line_dedup.near_duplicate_lines(empty).count() == 0 and line_dedup.remove_lines(empty).count() == 0
 
 
+def test_lines_of_an_id_with_several_texts_stay_apart(spark):
+    rows = [(1, "a", "g", "i"), (2, "b\na", "g", "i"), (2, "c\nd", "g", "i"), (2, "c\nd", "g", "i"), (3, "d", "g", "i"), (None, "a", "g", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __gone string, __id string")
+    shorter = line_dedup.remove_lines(df)
+    assert shorter.columns == df.columns
+    texts = sorted((r.doc_id or 0, r.text) for r in shorter.collect())
+    assert texts == [(0, "a"), (1, "a"), (2, "b"), (2, "c\nd"), (2, "c\nd"), (3, "")]
+
+
 def test_line_classes_and_links_reach_all_documents(spark):
     a, b = [f"a{k}" for k in range(10)], [f"b{k}" for k in range(10)]
     near = lambda w, k: " ".join([*w[:9], f"other{k}"])
