@@ -1,13 +1,16 @@
 """LM scoring with a hidden Markov language model.
 
 Tokens are the words of a text, A-Z lower-cased, and one end. The ``HEAD`` most frequent training
-tokens are observations of their own; every other token, known or not, is seen through one of
-``TAIL`` classes by its hash, with a smoothed share of the class. So the model's tables are of
-fixed size, and every token of every text has a probability that depends on its count in the
-whole training corpus.
+tokens that occur twice or more, of ``LONGEST`` bytes at most, are observations of their own; every
+other token, known or not, is seen through one of ``TAIL`` classes by its hash, with a share of the
+class. Of a class, a known token has its count, and all unknown ones together have as much as the
+tokens seen once, which tell how often a new one comes. So the model's tables are of fixed size, and
+every token of every text has a probability that depends on its count in the whole training corpus.
 
 Baum-Welch: each partition runs the scaled forward-backward recursion over all its training texts
-and sends expected counts; they are summed by observation and give the next tables. The score of a
+and sends expected counts; they are summed by observation and give the next tables. A state's counts
+are smoothed by the corpus' own shares, with as much weight as the state has different observations
+(Witten and Bell), so that a corpus of few repeated words is smoothed more. The score of a
 text is the exact likelihood from the scaled forward recursion. Texts of one batch are stepped
 through side by side, longest first.
 
@@ -36,6 +39,7 @@ ROUNDS = 4
 HEAD = 1 << 18
 TAIL = 256
 END = b" "  # no word holds a blank
+LONGEST = 64
 TOKENS_AT_ONCE = 1 << 19
 SMOOTH = 0.5
 _HASHES = ["h", "g"]
@@ -159,20 +163,22 @@ class Vocabulary:
     def __init__(self, counts: DataFrame) -> None:
         total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
         self.total, self.distinct = total["n"] or 0, total["v"]
-        head = counts.orderBy(F.desc("c"), "token").limit(HEAD).toArrow()
+        head = counts.where((F.col("c") > 1) & (F.octet_length("token") <= LONGEST)).orderBy(F.desc("c"), "token").limit(HEAD).toArrow()
         self.head: list[bytes] = head.column("token").to_pylist()
         self.head_counts = head.column("c").to_numpy().astype(float)
-        least = (self.head_counts[-1], self.head[-1]) if self.head else (0.0, b"")
-        # Tokens after the last of the head, in the head's own order.
-        self.in_tail = (F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("token") > F.lit(least[1])))
-        self.tail_counts, self.tail_distinct = np.zeros(TAIL), np.zeros(TAIL)
+        self.in_tail = F.lit(True)
+        if self.head:
+            # Tokens too long for the head, and those after its last one, in the head's own order.
+            c, last = self.head_counts[-1], self.head[-1]
+            self.in_tail = (F.octet_length("token") > LONGEST) | (F.col("c") < c) | ((F.col("c") == c) & (F.col("token") > F.lit(last)))
+        self.tail_counts, self.unknown = np.zeros(TAIL), np.full(TAIL, SMOOTH)
         tail = counts.where(self.in_tail).groupBy(F.pmod(F.crc32("token"), F.lit(TAIL)).alias("k"))
-        for r in tail.agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():  # TAIL rows
-            self.tail_counts[r["k"]], self.tail_distinct[r["k"]] = r["c"], r["v"]
+        for r in tail.agg(F.sum("c").alias("c"), F.count_if(F.col("c") == 1).alias("once")).collect():  # TAIL rows
+            self.tail_counts[r["k"]], self.unknown[r["k"]] = r["c"], max(SMOOTH, r["once"])
 
     def mass(self) -> np.ndarray:
-        """Smoothed share of each observation; the tail's classes follow the head."""
-        mass = np.concatenate([self.head_counts, self.tail_counts]) + SMOOTH
+        """Share of each observation in the corpus; the tail's classes follow the head."""
+        mass = np.concatenate([self.head_counts, self.tail_counts + self.unknown])
         return mass / mass.sum()
 
 
@@ -244,7 +250,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, work: Workspace) -> Model:
     """``ROUNDS`` rounds of Baum-Welch over all training texts."""
     model = Model.begin(vocabulary.mass())
     size = len(model.emit)
-    prior = SMOOTH * STATES * vocabulary.mass()[:, None]
+    mass = vocabulary.mass()[:, None]
     context = encoded.sparkSession.sparkContext
     names = ["row", *(f"s{k}" for k in range(STATES))]
     for round_ in range(ROUNDS):
@@ -273,7 +279,8 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, work: Workspace) -> Model:
         work.drop(f"round-{round_}")
         counts = np.zeros((size + STATES + 1, STATES))
         counts[summed.column("row").to_numpy()] = np.stack([summed.column(n).to_numpy() for n in names[1:]], 1)
-        emit = counts[:size] + prior
+        kinds = -np.expm1(-counts[:size]).sum(0)  # different observations of a state, the rarely expected ones in part
+        emit = counts[:size] + (kinds + SMOOTH) * mass
         move = counts[size : size + STATES] + SMOOTH
         start = counts[-1] + SMOOTH
         model = Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
@@ -296,9 +303,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # Tokens outside the head: their counts by a join, then sums by text.
     below = total + SMOOTH * (distinct + 1)
     classes = spark.createDataFrame(
-        [(k, float(vocabulary.tail_counts[k] + SMOOTH * (vocabulary.tail_distinct[k] + 1))) for k in range(TAIL)], "k long, below double"
+        [(k, float(u), float(n + u)) for k, (n, u) in enumerate(zip(vocabulary.tail_counts, vocabulary.unknown, strict=True))],
+        "k long, unknown double, of_class double",
     )
     c = F.coalesce(F.col("c"), F.lit(0))
+    part = F.coalesce(F.col("c").cast("double"), F.col("unknown"))
     rows = _tail(prepared, head).join(counts.where(vocabulary.in_tail), "token", "left")
     rows = rows.withColumn("k", F.pmod(F.crc32("token"), F.lit(TAIL))).join(F.broadcast(classes), "k", "left")  # TAIL rows
     word = F.col("token").isNotNull()
@@ -307,7 +316,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             F.sum(F.when(~word, F.col("n"))).alias("copies"),
             F.sum(F.when(word & F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
             F.sum(F.when(word, F.col("n") * F.log10((c + F.lit(SMOOTH)) / F.lit(below))).otherwise(0.0)).alias("base"),
-            F.sum(F.when(word, F.col("n") * F.log10((c + F.lit(SMOOTH)) / F.col("below"))).otherwise(0.0)).alias("share"),
+            F.sum(F.when(word, F.col("n") * F.log10(part / F.col("of_class"))).otherwise(0.0)).alias("share"),
         ),
         "tail",
     )

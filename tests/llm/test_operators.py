@@ -1,6 +1,7 @@
 """Each operator against brute force on the small corpus, and on an empty table."""
 
 import hashlib
+import itertools
 import math
 import pathlib
 import re
@@ -186,6 +187,41 @@ def test_hmm_base_figures_and_exact_likelihood(docs, empty, corpus, monkeypatch)
     assert hmm.score(empty).count() == 0
 
 
+def test_baum_welch_counts_equal_a_sum_over_all_paths():
+    rng = np.random.default_rng(4)
+    mass = rng.random(5)
+    model = hmm.Model.begin(mass / mass.sum())
+    model.move = rng.random((hmm.STATES, hmm.STATES))
+    model.move /= model.move.sum(1, keepdims=True)
+    sequences = [np.array([0, 3, 1]), np.array([2]), np.array([4, 0]), np.array([1, 1, 4])]
+    starts, moves, shares = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros((5, hmm.STATES))
+    for s in sequences:
+        weights = {}
+        for path in itertools.product(range(hmm.STATES), repeat=len(s)):
+            p = model.start[path[0]] * model.emit[s[0], path[0]]
+            for t in range(1, len(s)):
+                p *= model.move[path[t - 1], path[t]] * model.emit[s[t], path[t]]
+            weights[path] = p
+        total = sum(weights.values())
+        for path, p in weights.items():
+            starts[path[0]] += p / total
+            for t, x in enumerate(s):
+                shares[x, path[t]] += p / total
+                if t:
+                    moves[path[t - 1], path[t]] += p / total
+    layout = hmm.Layout(sequences)
+    got_starts, got_moves, got_shares = model.expect(layout)
+    summed = np.zeros((5, hmm.STATES))
+    np.add.at(summed, layout.flat, got_shares)
+    assert np.allclose(got_starts, starts) and np.allclose(got_moves, moves) and np.allclose(summed, shares)
+
+
+def test_held_out_texts_score_above_the_word_counts(spark):
+    out = hmm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
+    score, base = out.agg(F.sum("score"), F.sum("base_score")).first()
+    assert score > base
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_cartesian_tree():
     rng = np.random.default_rng(2)
     hashes = rng.integers(0, 2**63, 400).astype(np.uint64)
