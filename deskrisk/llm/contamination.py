@@ -2,11 +2,12 @@
 
 Benchmark texts and documents are normalised alike: A-Z lower-cased, words are runs of digits,
 letters and everything beyond ASCII. A window is ten consecutive words of an item; an item with
-fewer is one window. Documents are scanned word by word: the hash of the first three words of
-each window must be in a set, then the whole window's text in another (the verification).
+fewer is one window. The hashes of the first three words of all windows are a broadcast set, and
+documents are scanned word by word against it. What it holds is verified: the text of the whole
+window is looked up among the windows, in a join that gets the hits alone.
 
-The two sets travel with the plan while the benchmark has at most ``MOST_WINDOWS`` windows. A
-larger one is joined with the exploded document windows instead, with no hint.
+The set is broadcast in slices of ``AT_ONCE`` hashes at most, one scan each. An ordinary benchmark
+is one slice; a larger one takes more scans and no more memory.
 
 Defined results: a null text has no words; rows equal in id and text are one document; an empty
 table gives no rows; without benchmark rows nothing is contaminated; an item without an id contaminates
@@ -15,16 +16,17 @@ like any other, but is not among the items counted; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskrisk.llm.workspace import Workspace
+
 WINDOW = 10
 HEAD = 3
-MOST_WINDOWS = 50_000
+# Hashes that are broadcast at once: some 40 bytes each as a hash table.
+AT_ONCE = 1 << 21
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -34,75 +36,66 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, _SEPARATORS), "")
 
 
-def _head(words: Column, start: Column, length: int) -> Column:
-    return F.xxhash64(*[F.get(words, start + k) for k in range(min(HEAD, length))])
-
-
-def _window(words: Column, start: Column, length: int) -> Column:
-    return F.array_join(F.slice(words, start + 1, F.lit(length)), " ")
-
-
-def _starts(words: Column, length: int) -> Column:
-    return F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
+def _head(words: Column, start: Column, size: int) -> Column:
+    return F.xxhash64(F.lit(size), *[F.get(words, start + k) for k in range(size)])
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item``, ``length``, ``window``: each distinct window of each item."""
+    """``item``, ``length``, ``window`` and ``head``: each distinct window of each item."""
     items = benchmark.select(F.col(id_col).alias("item"), words_of(F.col(text_col)).alias("words")).where("size(words) > 0")
     length = F.least(F.size("words"), F.lit(WINDOW))
-    at = items.select("item", "words", length.alias("length"), F.explode(F.sequence(F.lit(0), F.size("words") - length)).alias("at"))
-    return at.select("item", "length", F.array_join(F.slice("words", F.col("at") + 1, F.col("length")), " ").alias("window")).distinct()
+    at = items.select("item", length.alias("length"), "words", F.explode(F.sequence(F.lit(0), F.size("words") - length)).alias("at"))
+    own = at.select("item", "length", F.slice("words", F.col("at") + 1, F.col("length")).alias("words"))
+    head = F.lit(None).cast("long")
+    for size in range(1, HEAD + 1):
+        head = F.when(F.least("length", F.lit(HEAD)) == size, _head(F.col("words"), F.lit(0), size)).otherwise(head)
+    return own.select("item", "length", F.array_join("words", " ").alias("window"), head.alias("head")).distinct()
 
 
 class Leaks:
     """The benchmark's windows, prepared for scanning documents."""
 
     def __init__(self, benchmark: DataFrame) -> None:
-        self.windows = item_windows(benchmark)
-        shapes = self.windows.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most WINDOW rows
-        self.lengths = sorted(r["length"] for r in shapes)
-        self.small = sum(r["n"] for r in shapes) <= MOST_WINDOWS
-        self.texts: dict[int, list[str]] = {n: [] for n in self.lengths}
-        self.heads: dict[int, list[int]] = {n: [] for n in self.lengths}
-        if self.small:  # MOST_WINDOWS rows at most
-            for r in self.windows.select("length", "window").distinct().collect():
-                self.texts[r["length"]].append(r["window"])
-            words = F.split("window", " ")
-            for n in self.lengths:
-                own = self.windows.where(F.col("length") == n).select(_head(words, F.lit(0), n).alias("head"))
-                self.heads[n] = [r["head"] for r in own.distinct().collect()]
-
-    def starts(self, words: Column, length: int) -> Column:
-        """Where a document's words hold a benchmark window of this length (small benchmarks)."""
-        return F.filter(
-            _starts(words, length),
-            lambda i: _head(words, i, length).isin(self.heads[length]) & _window(words, i, length).isin(self.texts[length]),
-        )
-
-    def in_words(self, words: Column) -> Column:
-        """Whether a document's words hold any window (small benchmarks)."""
-        return reduce(or_, [F.size(self.starts(words, n)) > 0 for n in self.lengths], F.lit(False))
-
-    def _candidates(self, length: int) -> Column:
-        words = F.col("words")
-        return F.transform(
-            self.starts(words, length) if self.small else _starts(words, length),
-            lambda i: F.struct(i.alias("at"), F.lit(length).alias("length"), _window(words, i, length).alias("window")),
-        )
+        self.work = Workspace(benchmark.sparkSession, "leaks")
+        self.windows = self.work.store(item_windows(benchmark), "windows")
+        self.lengths = sorted(r["length"] for r in self.windows.select("length").distinct().collect())  # WINDOW rows at most
+        self.heads = self.work.store(self.windows.select("head").distinct(), "heads")
+        self.slices = max(1, -(-self.heads.count() // AT_ONCE))
+
+    @staticmethod
+    def _entry(words: Column, size: int):
+        return lambda i: F.struct(i.alias("at"), _head(words, i, size).alias("head"))
+
+    def _starts(self, words: Column) -> Column:
+        """Every place of a text and the hash of the words there; a first entry without a place stands for the text."""
+        place = "array<struct<at:int,head:bigint>>"
+        parts = [F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("long").alias("head"))).cast(place)]
+        for size in sorted({min(HEAD, n) for n in self.lengths}):
+            places = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
+            parts.append(F.transform(places, self._entry(words, size)).cast(place))
+        return F.concat(*parts)
 
     def occurrences(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """``id``, ``key``, ``n_words`` and, null where there is none, ``at``, ``length``, ``item``."""
-        rows = docs.select(
-            F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), words_of(F.col(text_col)).alias("words")
-        ).withColumn("n_words", F.size("words"))
-        found = [self._candidates(n) for n in self.lengths]
-        if not found:
-            return rows.select("id", "key", "n_words", *[F.lit(None).cast(t).alias(c) for c, t in (("at", "int"), ("length", "int"), ("item", "string"))])
-        hits = rows.select("id", "key", "n_words", F.explode_outer(F.concat(*found)).alias("hit"))
-        hits = hits.select("id", "key", "n_words", "hit.*")
-        windows = self.windows.withColumn("held", F.lit(True))  # an item may be null
-        windows = F.broadcast(windows) if self.small else windows
-        return hits.join(windows, ["length", "window"], "left").select(
+        """``id``, ``key``, ``n_words`` and ``at``, ``length``, ``item`` of each window found; a row with a null ``at`` for each text, too."""
+        rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), words_of(F.col(text_col)).alias("words"))
+        # There is always an entry. Of an inner generator, Spark would filter on the array first, with the words made anew
+        # for each place in it.
+        places = rows.withColumn("starts", self._starts(F.col("words"))).select("id", "key", "words", F.inline_outer("starts"))
+        found = None
+        for k in range(self.slices):
+            heads = self.heads.where(F.pmod("head", F.lit(self.slices)) == k).select("head", F.lit(True).alias("held"))
+            part = places.join(F.broadcast(heads), "head", "left").where(F.col("held") if k else F.col("held") | (F.col("at") < 0))
+            found = part if found is None else found.unionByName(part)
+        # The window of each length there is, where the text goes on that far.
+        lengths = F.array(*[F.lit(n) for n in self.lengths]).cast("array<int>")
+        long_enough = F.filter(lengths, lambda n: (F.col("at") >= 0) & (F.col("at") + n <= F.size("words")))
+        hits = found.select("id", "key", F.size("words").alias("n_words"), "words", "at", F.explode_outer(long_enough).alias("length"))
+        hits = hits.select(
+            "id", "key", "n_words", "at", "length",
+            F.when(F.col("length").isNotNull(), F.array_join(F.slice("words", F.col("at") + 1, F.col("length")), " ")).alias("window"),
+        )
+        known = self.windows.select("length", "window", "item", F.lit(True).alias("held"))  # an item may be null
+        return hits.join(known, ["length", "window"], "left").select(
             "id", "key", "n_words", F.when(F.col("held"), F.col("at")).alias("at"), "length", "item"
         )
 
@@ -124,12 +117,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window; all columns stay."""
+    """``docs`` without the documents that hold a benchmark window; all columns stay.
+
+    Contaminated texts are known by two hashes, which are joined without a hint: Spark broadcasts
+    them if their stored size allows it.
+    """
     leaks = Leaks(benchmark)
-    if leaks.small:
-        # A function's argument: the words are made once for each text, not for each place in it.
-        leaks_in = F.exists(F.array(words_of(F.col(text_col))), leaks.in_words)
-        return docs.where(~leaks_in)
-    bad = leaks.occurrences(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).where("at is not null")
-    keys = bad.select(F.col("key").alias("__key")).distinct()
-    return docs.join(keys, F.xxhash64(text_col) == keys["__key"], "left_anti")
+    second = F.xxhash64(F.lit(1), F.col(text_col))
+    hits = leaks.occurrences(docs.select(second.alias("second"), text_col), "second", text_col).where("at is not null")
+    bad = leaks.work.store(hits.select("key", F.col("id").alias("second")).distinct(), "bad")
+    whole = docs.select(F.xxhash64(text_col).alias("key"), second.alias("second"), F.struct("*").alias("row"))
+    return whole.join(bad, ["key", "second"], "left_anti").select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -260,10 +260,10 @@ def test_every_exactly_repeated_passage_is_found(docs, empty, by_id):
     assert compact_windows.near_duplicate_passages(empty).count() == 0
 
 
-@pytest.mark.parametrize("most", [contamination.MOST_WINDOWS, 0])
-def test_decontamination_equals_brute_force(docs, empty, by_id, benchmark, benchmark_items, most, monkeypatch):
-    """With the windows in the plan, and (0) with windows joined."""
-    monkeypatch.setattr(contamination, "MOST_WINDOWS", most)
+@pytest.mark.parametrize("at_once", [contamination.AT_ONCE, 3])
+def test_decontamination_equals_brute_force(docs, empty, by_id, benchmark, benchmark_items, at_once, monkeypatch):
+    """With the set of hashes in one slice, and in many."""
+    monkeypatch.setattr(contamination, "AT_ONCE", at_once)
     upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(upper))
     windows = defaultdict(set)
@@ -293,9 +293,18 @@ def test_decontamination_equals_brute_force(docs, empty, by_id, benchmark, bench
     assert not found(contamination.find_leaks(docs, benchmark.limit(0)))[6].contaminated
 
 
-@pytest.mark.parametrize("most", [contamination.MOST_WINDOWS, 0])
-def test_items_without_an_id_contaminate(spark, most, monkeypatch):
-    monkeypatch.setattr(contamination, "MOST_WINDOWS", most)
+def test_a_large_benchmark_finds_the_same(spark, docs, benchmark):
+    """A million more windows, none of which occurs, change no row; no join gets unfiltered places."""
+    words = [F.concat(F.lit("q"), F.xxhash64("id", F.lit(k)).bitwiseAND(F.lit((1 << 40) - 1)).cast("string")) for k in range(40)]
+    many = spark.range(33_000).select((F.col("id") + 1000).alias("item_id"), F.concat_ws(" ", *words).alias("text"))
+    few = {tuple(map(str, r)) for r in contamination.find_leaks(docs, benchmark).collect()}
+    out = contamination.find_leaks(docs, benchmark.unionByName(many))
+    assert {tuple(map(str, r)) for r in out.collect()} == few
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") < len(plan)
+
+
+def test_items_without_an_id_contaminate(spark):
     docs = spark.createDataFrame([(1, "two of words here"), (2, "nothing")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "of words")], "item_id long, text string")
     got = found(contamination.find_leaks(docs, items))
