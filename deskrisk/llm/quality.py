@@ -11,8 +11,8 @@ is counted and scored whole.
 
 Defined results: a null text has no words and fails the base rules; repeated rows give repeated
 results; an empty table gives none. Without labelled rows of both classes there is no verdict:
-``probability`` is null and ``kept`` follows the base rules alone. Labels without a quality are
-ignored; a document with several labels counts once for each. Other columns are ignored.
+``probability`` is null and ``kept`` follows the base rules alone. Labels with a quality other than 0
+or 1, or without one, are ignored; a document with several labels counts once for each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,7 +93,7 @@ def _margin(weights: np.ndarray, families: list[np.ndarray]) -> float:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["quality", "held", "places", "values"]
+    names = ["order", "quality", "held", "places", "values"]
     for batch in batches:
         for row in batch.to_pylist():
             text = row["text"] or ""
@@ -102,7 +102,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = np.concatenate([np.full(len(f), 1 / np.sqrt(max(1, len(f)))) for f in families])
             unique, inverse = np.unique(places, return_inverse=True)
             summed = np.bincount(inverse, weights=values, minlength=len(unique)).astype(np.float32)
-            columns = [[row["quality"]], [row["held"]], [unique.astype(np.int32).tobytes()], [summed.tobytes()]]
+            columns = [[row["order"]], [row["quality"]], [row["held"]], [unique.astype(np.int32).tobytes()], [summed.tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
@@ -110,18 +110,17 @@ def train(docs: DataFrame, labels: DataFrame, work: Workspace, id_col: str = "do
     """Weights and calibration (slope, offset), or None where a class has no labelled row."""
     spark = docs.sparkSession
     wanted = (
-        labels.where("quality is not null")
+        labels.where("quality in (0, 1)")
         .select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("id"), "quality").limit(TRAIN_ROWS)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(wanted), "id").select(  # TRAIN_ROWS pairs of numbers at most
-        "text", "quality", (F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(5)) == 0).alias("held")
-    )
-    rows = work.store(
-        map_batches(sample, _features, "quality bigint, held boolean, places binary, values binary").repartition(TRAIN_PARTS),
-        "features",
+        "text", "quality", (F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(5)) == 0).alias("held"), F.xxhash64("id").alias("order")
     )
+    features = map_batches(sample, _features, "order bigint, quality bigint, held boolean, places binary, values binary")
+    # Dealt and sorted by the rows themselves, so that the steps do not depend on how the input is cut.
+    rows = work.store(features.repartition(TRAIN_PARTS, "order").sortWithinPartitions("order", "quality", "places"), "features")
     counts = {r["quality"]: r["count"] for r in rows.where("not held").groupBy("quality").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return None

@@ -73,6 +73,22 @@ def test_stages_keep_columns_and_act_on_what_is_left(spark, docs):
         assert stage(spark, docs.limit(0), SF).count() == 0, name
 
 
+def test_other_labels_are_ignored_and_the_input_may_come_in_any_order(spark):
+    rows = [(i, f"plain words of prose number {i} " * 12 if i % 2 else f"### {i} $$ buy now @@ " * 14) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (60, None), (61, "")], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(60)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    more = spark.createDataFrame([*labels, (3, 2), (4, -1), (5, None)], "doc_id long, quality int")
+
+    def judged(df, marks):
+        return sorted((r.doc_id, r.kept, r.probability) for r in quality.quality_rules(df, marks).collect())
+
+    want = judged(docs, known)
+    assert judged(docs.repartition(5), more.repartition(4)) == want
+    assert judged(docs.limit(0), known) == []
+    assert corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0
+
+
 def test_run_applies_all_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
