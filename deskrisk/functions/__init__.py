@@ -5,6 +5,8 @@ from deskrisk.functions.columns import (  # noqa: F401
     duration_years,
     flag,
     model_status,
+    money_of,
+    money_parts,
     normalise_ticker,
     padded_id,
     percent_of,

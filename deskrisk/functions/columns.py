@@ -73,6 +73,24 @@ def model_status(exceptions: Column) -> Column:
     return band(exceptions, [(exceptions >= 10, "REJECTED"), (exceptions >= 5, "REVIEW")], "ACCEPTED")
 
 
+# Fixed value: parts of a unit of money that sums keep.
+MILLIONTHS = 1_000_000
+
+
+def money_parts(amount: Column) -> tuple[Column, Column]:
+    """Whole units and millionths of an amount, as integers: their sums do not depend on the order of addition.
+
+    An integer sum beyond 64 bits (9 x 10^18 units, or 9 x 10^12 amounts) is an error in ANSI mode.
+    """
+    whole = F.floor(amount)
+    return whole, F.round((amount - whole) * MILLIONTHS).cast("bigint")
+
+
+def money_of(whole: Column, millionths: Column) -> Column:
+    """The amount of summed parts."""
+    return whole.cast("double") + millionths / F.lit(float(MILLIONTHS))
+
+
 def trade_noise(trade_id: Column, method: str = "hash") -> Column:
     """Per-trade factor near one that stands in for P&L no market move explains.
 

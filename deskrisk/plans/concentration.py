@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.functions import band, flag, percent_of, tenor_bucket
+from deskrisk.functions import band, flag, money_of, money_parts, percent_of, tenor_bucket
 from deskrisk.operators import rank_rows, settle
 
 # The dimensions and the column each groups by.
@@ -19,8 +19,12 @@ DIMENSIONS = {
 }
 
 
+# Gross and net exposure, each in whole units and millionths.
+SUMS = ("gross_units", "gross_millionths", "net_units", "net_millionths")
+
+
 def exposure_cube(positions: DataFrame, classifications: DataFrame) -> DataFrame:
-    """Trades, gross and net exposure per desk, dimension and entity, plus the totals.
+    """Trades, gross and net exposure per desk, dimension and entity, in whole units and millionths (``SUMS``).
 
     One scan and one shuffle: GROUPING SETS over (desk, d) for each dimension d. Rows are
     combined map-side per set, so what is shuffled is bounded by the number of
@@ -36,8 +40,7 @@ def exposure_cube(positions: DataFrame, classifications: DataFrame) -> DataFrame
     sets = book.groupingSets([["desk", c] for c in scanned], "desk", *scanned).agg(
         F.grouping_id().alias("_set"),
         F.count("trade_id").alias("position_count"),
-        F.sum(F.abs("notional_usd")).alias("gross_exposure_usd"),
-        F.sum("net_exposure_usd").alias("net_exposure_usd"),
+        *[F.sum(part).alias(name) for name, part in zip(SUMS, (*money_parts(F.abs("notional_usd")), *money_parts(F.col("net_exposure_usd"))))],
     )
     # Bit i of the grouping id is 0 for the one dimension that is grouped by.
     kind, entity = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -47,7 +50,7 @@ def exposure_cube(positions: DataFrame, classifications: DataFrame) -> DataFrame
         name = next(k for k, v in DIMENSIONS.items() if v == column)
         kind = F.when(ours, name).otherwise(kind)
         entity = F.when(ours, F.col(column)).otherwise(entity)
-    measures = ("position_count", "gross_exposure_usd", "net_exposure_usd")
+    measures = ("position_count", *SUMS)
     cube = sets.select("desk", kind.alias("concentration_type"), entity.alias("entity_name"), *measures)
 
     known = classifications.groupBy(F.upper("ticker").alias("_ticker")).agg(
@@ -80,12 +83,19 @@ def concentration_risk(
 
     The cube is far smaller than the positions but is needed by several branches, so
     it is written once. Totals come from one dimension of it, as every dimension adds
-    up to the whole book. Ties in rank go by desk and entity name.
+    up to the whole book. Ties in rank go by desk and entity name. Money is summed in
+    integers, so that neither ranks nor levels depend on the order of addition.
     """
-    cube = settle(exposure_cube(positions, classifications), "exposure-cube")
-    by_class = cube.where(F.col("concentration_type") == "ASSET_CLASS")
-    desks = by_class.groupBy("desk").agg(F.sum("gross_exposure_usd").alias("_desk_gross"))
-    portfolio = desks.agg(F.sum("_desk_gross").alias("_portfolio_gross"))
+    parts = settle(exposure_cube(positions, classifications), "exposure-cube")
+    gross = money_of(F.sum(SUMS[0]), F.sum(SUMS[1]))
+    by_class = parts.where(F.col("concentration_type") == "ASSET_CLASS")
+    desks = by_class.groupBy("desk").agg(gross.alias("_desk_gross"))
+    portfolio = by_class.agg(gross.alias("_portfolio_gross"))
+    cube = parts.select(
+        "desk", "concentration_type", "entity_name", "position_count",
+        money_of(F.col(SUMS[0]), F.col(SUMS[1])).alias("gross_exposure_usd"),
+        money_of(F.col(SUMS[2]), F.col(SUMS[3])).alias("net_exposure_usd"),
+    )
 
     # One row per desk, and one row.
     shares = (

@@ -332,10 +332,15 @@ SELECT p.*, coalesce(sector, 'Unknown') AS sector, coalesce(geography, 'Unknown'
 FROM pos p LEFT JOIN classes c ON upper(c.ticker) = upper(p.ticker)
 """
 
+def _exact(amount: str) -> str:
+    """A sum in whole units and millionths, which no order of addition changes."""
+    return f"(SUM(floor({amount})) + SUM(round(({amount} - floor({amount})) * 1000000)) / 1000000.0)"
+
+
 VIEWS["entities"] = "\nUNION ALL ".join(
     f"SELECT desk, '{kind}' AS concentration_type, {column} AS entity_name, "
-    "CAST(COUNT(DISTINCT trade_id) AS INTEGER) AS position_count, SUM(abs(notional_usd)) AS gross_exposure_usd, "
-    "SUM(net_exposure_usd) AS net_exposure_usd FROM sides GROUP BY ALL"
+    f"CAST(COUNT(DISTINCT trade_id) AS INTEGER) AS position_count, {_exact('abs(notional_usd)')} AS gross_exposure_usd, "
+    f"{_exact('net_exposure_usd')} AS net_exposure_usd FROM sides GROUP BY ALL"
     for kind, column in (
         ("COUNTERPARTY", "counterparty"), ("INSTRUMENT", "ticker"), ("SECTOR", "sector"),
         ("GEOGRAPHY", "geography"), ("ASSET_CLASS", "asset_class"), ("MATURITY_BUCKET", "maturity_bucket"),
@@ -352,9 +357,9 @@ SELECT DATE '2001-12-31' AS as_of_date, *, abs(net_exposure_usd) AS net_abs_expo
        pct_of_portfolio_total > 25 AS large_exposure_flag
 FROM (SELECT e.*, round(gross_exposure_usd / nullif(d, 0) * 100, 4) AS pct_of_desk_total,
              round(gross_exposure_usd / nullif(t, 0) * 100, 4) AS pct_of_portfolio_total
-      FROM entities e JOIN (SELECT desk, SUM(abs(notional_usd)) AS d FROM pos GROUP BY desk) USING (desk)
-           CROSS JOIN (SELECT SUM(abs(notional_usd)) AS t FROM pos))
-"""
+      FROM entities e JOIN (SELECT desk, EXACT AS d FROM pos GROUP BY desk) USING (desk)
+           CROSS JOIN (SELECT EXACT AS t FROM pos))
+""".replace("EXACT", _exact("abs(notional_usd)"))
 
 VIEWS["exposure_history"] = """
 SELECT desk, as_of_date, gross_exposure_usd, avg(gross_exposure_usd) OVER (PARTITION BY desk) * 1.1 AS limit_usd,
