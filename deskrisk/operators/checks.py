@@ -87,11 +87,6 @@ def verdict(rules: Sequence[tuple[str, Column]], otherwise: str = "PASS") -> Col
     return chain.otherwise(otherwise).alias("quality_status")
 
 
-def fails(*rules: tuple[str, str], dash: str = "\u2014") -> list[tuple[str, Column]]:
-    """(count column, reason) pairs as FAIL rules: the count must be zero."""
-    return [(f"FAIL {dash} {reason}", F.col(column) > 0) for column, reason in rules]
-
-
 def stop_on_fail(results: DataFrame, what: str) -> None:
     """Raise when a check has failures or a gate's status is a FAIL. One small row per
     check reaches the driver; a WARN passes."""

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Folders this application has written, until ``clear_scratch`` removes them.
-_WRITTEN: list[str] = []
+# Folders written by the run this thread works for, if it is inside ``scratch_of_run``.
+_OF_RUN: ContextVar[list[str] | None] = ContextVar("settled", default=None)
 
 # Jobs submitted side by side; Spark shares the executors among them.
 PARALLEL = 4
@@ -37,7 +39,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/deskrisk-{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    written = _OF_RUN.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,10 +59,21 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove every table this application has settled, once nothing reads them any more."""
-    while _WRITTEN:
-        drop_folder(spark, _WRITTEN.pop())
+@contextmanager
+def scratch_of_run(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every table that was settled inside, and none that another run has settled.
+
+    Results that read such tables must be written or collected before the end. Outside of it,
+    settled tables stay.
+    """
+    written: list[str] = []
+    token = _OF_RUN.set(written)
+    try:
+        yield
+    finally:
+        _OF_RUN.reset(token)
+        for folder in written:
+            drop_folder(spark, folder)
 
 
 def together(jobs: dict[str, Callable]) -> dict:
@@ -68,5 +83,5 @@ def together(jobs: dict[str, Callable]) -> dict:
     The first failure is raised once all have ended.
     """
     with ThreadPoolExecutor(PARALLEL) as pool:
-        started = {name: pool.submit(job) for name, job in jobs.items()}
+        started = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
     return {name: job.result() for name, job in started.items()}

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.operators.checks import fails, verdict
+from deskrisk.operators.checks import verdict
+from deskrisk.plans.statuses import STATUSES
 
 # The closed domains of the book.
 ASSET_CLASSES = ("FX", "Equity", "Rates", "Credit")
@@ -15,6 +16,11 @@ DIRECTIONS = ("LONG", "SHORT")
 DESK_CLASS = {"FX Desk": "FX", "Equity Desk": "Equity", "Rates Desk": "Rates", "Credit Desk": "Credit"}
 
 
+def broken(gate: str) -> list[tuple[str, Column]]:
+    """The statuses of a gate and when each holds: its count is above zero."""
+    return [(status, F.col(column) > 0) for column, status in STATUSES[gate]]
+
+
 def _rows() -> Column:
     return F.count(F.lit(1)).alias("total_rows")
 
@@ -67,19 +73,7 @@ def prices_gate(prices: DataFrame) -> DataFrame:
         (F.coalesce(F.sum("_rows"), F.lit(0)) - F.count_if(whole_key)).alias("duplicate_rows"),
         F.coalesce(F.sum("_non_positive"), F.lit(0)).alias("non_positive_close_price"),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("null_price_date", "null price_date found"),
-                ("null_ticker", "null ticker found"),
-                ("null_close_price", "null close_price found"),
-                ("duplicate_rows", "duplicate rows found"),
-                ("non_positive_close_price", "non-positive close_price found"),
-                dash="-",
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("prices_gate")))
 
 
 def positions_gate(positions: DataFrame) -> DataFrame:
@@ -99,19 +93,7 @@ def positions_gate(positions: DataFrame) -> DataFrame:
         _count("positions_with_price", F.col("current_price").isNotNull()),
         _count("positions_without_price", F.col("current_price").isNull()),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("null_trade_id", "null trade_id found"),
-                ("null_notional_usd", "null notional_usd found"),
-                ("null_fx_rate", "null fx_rate found"),
-                ("duplicate_trade_ids", "duplicate trade_ids found"),
-                ("non_positive_notional", "non-positive notional found"),
-                ("invalid_direction", "invalid direction multiplier"),
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("positions_gate")))
 
 
 def desk_breakdown(positions: DataFrame) -> DataFrame:
@@ -162,22 +144,7 @@ def var_gate(var: DataFrame) -> DataFrame:
         _count("non_positive_es", F.col("es_97_5_usd") <= 0),
         _count("low_scenario_count", F.col("scenario_count") < 200),
     )
-    rules = fails(
-        ("null_var_95", "null var_95 found"),
-        ("null_var_97_5", "null var_97_5 found"),
-        ("null_var_99", "null var_99 found"),
-        ("null_var_10day", "null var_10day found"),
-        ("null_es", "null es_97_5 found"),
-        ("null_notional", "null notional found"),
-        ("var_97_5_less_than_95", "var_97_5 less than var_95"),
-        ("var_99_less_than_97_5", "var_99 less than var_97_5"),
-        ("es_less_than_var", "ES less than VaR at same confidence level"),
-        ("tenday_less_than_oneday", "10-day VaR less than 1-day VaR"),
-        ("non_positive_var_95", "non-positive var_95"),
-        ("non_positive_es", "non-positive ES"),
-    )
-    rules.append(("WARN \u2014 fewer than 200 scenarios used", F.col("low_scenario_count") > 0))
-    return profile.withColumn("quality_status", verdict(rules))
+    return profile.withColumn("quality_status", verdict(broken("var_gate")))
 
 
 def pnl_gate(pnl: DataFrame) -> DataFrame:
@@ -193,17 +160,7 @@ def pnl_gate(pnl: DataFrame) -> DataFrame:
         ),
         _count("pnl_mismatch_rows", F.abs(gap) > 0.01),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("null_hypothetical", "null hypothetical_pnl found"),
-                ("null_actual", "null actual_pnl found"),
-                ("null_unexplained", "null unexplained_pnl found"),
-                ("pnl_mismatch_rows", "unexplained PnL arithmetic mismatch"),
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("pnl_gate")))
 
 
 def backtest_gate(backtest: DataFrame) -> DataFrame:
@@ -228,21 +185,7 @@ def backtest_gate(backtest: DataFrame) -> DataFrame:
         _count("amber_rows", zone == "AMBER"),
         _count("red_rows", zone == "RED"),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("null_var", "null var found"),
-                ("null_actual_loss", "null actual_loss found"),
-                ("null_rolling_count", "null rolling count found"),
-                ("null_basel_zone", "null basel_zone found"),
-                ("magnitude_on_non_exception", "magnitude present on non-exception row"),
-                ("missing_magnitude_on_exception", "magnitude missing on exception row"),
-                ("red_zone_mismatch", "RED zone inconsistent with exception count"),
-                ("amber_zone_mismatch", "AMBER zone inconsistent with exception count"),
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("backtest_gate")))
 
 
 def exposure_gate(exposure: DataFrame) -> DataFrame:
@@ -266,23 +209,7 @@ def exposure_gate(exposure: DataFrame) -> DataFrame:
         _count("amber_desks", status == "AMBER"),
         _count("green_desks", status == "GREEN"),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("null_gross_exposure", "null gross_exposure found"),
-                ("null_limit", "null limit found"),
-                ("null_utilisation", "null utilisation found"),
-                ("null_limit_status", "null limit_status found"),
-                ("negative_gross_exposure", "negative gross exposure found"),
-                ("non_positive_limit", "non-positive limit found"),
-                ("red_flag_mismatch", "RED status inconsistent with flags"),
-                ("amber_flag_mismatch", "AMBER status inconsistent with flags"),
-                ("green_flag_mismatch", "GREEN status inconsistent with flags"),
-                ("invalid_status_values", "invalid limit_status value found"),
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("exposure_gate")))
 
 
 def gold_summary(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -330,23 +257,7 @@ def validate_book(book: DataFrame) -> DataFrame:
         _count("equity_without_isin", equity & isin.isNull()),
         _count("desk_class_mismatch", off_mandate),
     )
-    return profile.withColumn(
-        "quality_status",
-        verdict(
-            fails(
-                ("duplicate_trade_ids", "duplicate trade_ids"),
-                ("bad_asset_class", "unexpected asset_class"),
-                ("bad_direction", "unexpected direction"),
-                ("bad_notional", "non-positive notional"),
-                ("bad_isin", "ISIN not of 12 characters"),
-                ("bad_cusip", "CUSIP not of 9 characters"),
-                ("fx_with_isin", "FX position with ISIN"),
-                ("fx_with_cusip", "FX position with CUSIP"),
-                ("equity_without_isin", "Equity position without ISIN"),
-                ("desk_class_mismatch", "asset class outside the desk's mandate"),
-            )
-        ),
-    )
+    return profile.withColumn("quality_status", verdict(broken("validate_book")))
 
 
 def book_profile(book: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskrisk.operators import clear_scratch, schema_guard, settle, together
+from deskrisk.operators import schema_guard, scratch_of_run, settle, together
 from deskrisk.operators.checks import (
     check_unique_combination,
     column_checks,
@@ -237,10 +237,8 @@ def audit_gold(lake: Lake, desks: tuple[str, ...]) -> None:
 def run(lake: Lake, run_date: date, as_of: date | None = None, desks: tuple[str, ...] = tuple(gates.DESK_CLASS)) -> None:
     """One day, from bronze to checked gold. Raises at the first failing gate, before
     anything after it is written; repeating a day gives the same tables. Run one day at
-    a time per application, as the run removes the scratch tables it wrote."""
-    try:
+    a time on a lake. The run removes the scratch tables it wrote, and no others."""
+    with scratch_of_run(lake.spark):
         build_silver(lake, as_of or run_date, desks)
         build_gold(lake, run_date, desks)
-    finally:
-        clear_scratch(lake.spark)
     check_gold(lake, run_date)

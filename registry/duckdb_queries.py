@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from deskrisk.plans.statuses import STATUSES
 from deskrisk.serving.charts import CHARTS, metric_name
 from deskrisk.sources.schemas import KEYS, TABLES, business_columns
 from registry import outputs
@@ -199,11 +200,11 @@ SQL["column_checks"] = _failures(
 )
 
 
-def _gate(table: str, counts: dict[str, str], fails: list[tuple[str, str]], dash: str = "—", warn: str = "") -> str:
+def _gate(gate: str, table: str, counts: dict[str, str]) -> str:
     """Profile columns as expressions; the first failing count names the status."""
     profile = ", ".join(f"{sql} AS {name}" for name, sql in counts.items())
-    chain = " ".join(f"WHEN {name} > 0 THEN 'FAIL {dash} {reason}'" for name, reason in fails)
-    return f"SELECT *, CASE {chain} {warn} ELSE 'PASS' END AS quality_status FROM (SELECT {profile} FROM {table})"
+    chain = " ".join(f"WHEN {name} > 0 THEN '{status.replace(chr(39), chr(39) * 2)}'" for name, status in STATUSES[gate])
+    return f"SELECT *, CASE {chain} ELSE 'PASS' END AS quality_status FROM (SELECT {profile} FROM {table})"
 
 
 def _n(predicate: str) -> str:
@@ -211,7 +212,7 @@ def _n(predicate: str) -> str:
 
 
 SQL["prices_gate"] = _gate(
-    "px",
+    "prices_gate", "px",
     {
         "total_rows": "count(*)", "unique_tickers": "count(DISTINCT ticker)",
         "unique_dates": "count(DISTINCT price_date)", "earliest_date": "min(price_date)", "latest_date": "max(price_date)",
@@ -221,15 +222,9 @@ SQL["prices_gate"] = _gate(
         "duplicate_rows": "count(*) - count(DISTINCT CAST(price_date AS VARCHAR) || '/' || ticker)",
         "non_positive_close_price": _n("close_price <= 0"),
     },
-    [
-        ("null_price_date", "null price_date found"), ("null_ticker", "null ticker found"),
-        ("null_close_price", "null close_price found"), ("duplicate_rows", "duplicate rows found"),
-        ("non_positive_close_price", "non-positive close_price found"),
-    ],
-    dash="-",
 )
 SQL["positions_gate"] = _gate(
-    "pos",
+    "positions_gate", "pos",
     {
         "total_rows": "count(*)", "unique_trades": "count(DISTINCT trade_id)", "unique_desks": "count(DISTINCT desk)",
         "unique_currencies": "count(DISTINCT currency)", "null_trade_id": _n("trade_id IS NULL"),
@@ -241,12 +236,6 @@ SQL["positions_gate"] = _gate(
         "positions_with_price": _n("current_price IS NOT NULL"),
         "positions_without_price": _n("current_price IS NULL"),
     },
-    [
-        ("null_trade_id", "null trade_id found"), ("null_notional_usd", "null notional_usd found"),
-        ("null_fx_rate", "null fx_rate found"), ("duplicate_trade_ids", "duplicate trade_ids found"),
-        ("non_positive_notional", "non-positive notional found"),
-        ("invalid_direction", "invalid direction multiplier"),
-    ],
 )
 SQL["desk_breakdown"] = """
 SELECT desk, count(*) AS position_count, count(DISTINCT counterparty) AS unique_counterparties,
@@ -261,7 +250,7 @@ SELECT 'prices_cleaned' AS table_name, count(*) AS row_count, count(DISTINCT tic
 UNION ALL SELECT 'positions_enriched', count(*), count(DISTINCT desk) FROM pos
 """
 SQL["var_gate"] = _gate(
-    "var_daily",
+    "var_gate", "var_daily",
     {
         "total_rows": "count(*)", "unique_desks": "count(DISTINCT desk)",
         "unique_asset_classes": "count(DISTINCT asset_class)", "unique_dates": "count(DISTINCT calculation_date)",
@@ -275,33 +264,18 @@ SQL["var_gate"] = _gate(
         "non_positive_var_95": _n("var_95_usd <= 0"), "non_positive_es": _n("es_97_5_usd <= 0"),
         "low_scenario_count": _n("scenario_count < 200"),
     },
-    [
-        ("null_var_95", "null var_95 found"), ("null_var_97_5", "null var_97_5 found"),
-        ("null_var_99", "null var_99 found"), ("null_var_10day", "null var_10day found"),
-        ("null_es", "null es_97_5 found"), ("null_notional", "null notional found"),
-        ("var_97_5_less_than_95", "var_97_5 less than var_95"), ("var_99_less_than_97_5", "var_99 less than var_97_5"),
-        ("es_less_than_var", "ES less than VaR at same confidence level"),
-        ("tenday_less_than_oneday", "10-day VaR less than 1-day VaR"),
-        ("non_positive_var_95", "non-positive var_95"), ("non_positive_es", "non-positive ES"),
-    ],
-    warn="WHEN low_scenario_count > 0 THEN 'WARN — fewer than 200 scenarios used'",
 )
 SQL["pnl_gate"] = _gate(
-    "pnl_attribution",
+    "pnl_gate", "pnl_attribution",
     {
         "total_rows": "count(*)", "unique_desks": "count(DISTINCT desk)", "unique_dates": "count(DISTINCT pnl_date)",
         "null_hypothetical": _n("hypothetical_pnl_usd IS NULL"), "null_actual": _n("actual_pnl_usd IS NULL"),
         "null_unexplained": _n("unexplained_pnl_usd IS NULL"),
         "pnl_mismatch_rows": _n("abs(unexplained_pnl_usd - (actual_pnl_usd - hypothetical_pnl_usd)) > 0.01"),
     },
-    [
-        ("null_hypothetical", "null hypothetical_pnl found"), ("null_actual", "null actual_pnl found"),
-        ("null_unexplained", "null unexplained_pnl found"),
-        ("pnl_mismatch_rows", "unexplained PnL arithmetic mismatch"),
-    ],
 )
 SQL["backtest_gate"] = _gate(
-    "var_backtest",
+    "backtest_gate", "var_backtest",
     {
         "total_rows": "count(*)", "unique_desks": "count(DISTINCT desk)",
         "unique_dates": "count(DISTINCT backtest_date)", "null_var": _n("var_97_5_usd IS NULL"),
@@ -315,17 +289,9 @@ SQL["backtest_gate"] = _gate(
         "green_rows": _n("basel_zone = 'GREEN'"), "amber_rows": _n("basel_zone = 'AMBER'"),
         "red_rows": _n("basel_zone = 'RED'"),
     },
-    [
-        ("null_var", "null var found"), ("null_actual_loss", "null actual_loss found"),
-        ("null_rolling_count", "null rolling count found"), ("null_basel_zone", "null basel_zone found"),
-        ("magnitude_on_non_exception", "magnitude present on non-exception row"),
-        ("missing_magnitude_on_exception", "magnitude missing on exception row"),
-        ("red_zone_mismatch", "RED zone inconsistent with exception count"),
-        ("amber_zone_mismatch", "AMBER zone inconsistent with exception count"),
-    ],
 )
 SQL["exposure_gate"] = _gate(
-    "exposure_monitor",
+    "exposure_gate", "exposure_monitor",
     {
         "total_rows": "count(*)", "unique_desks": "count(DISTINCT desk)",
         "null_gross_exposure": _n("gross_exposure_usd IS NULL"), "null_limit": _n("limit_usd IS NULL"),
@@ -339,15 +305,6 @@ SQL["exposure_gate"] = _gate(
         "red_desks": _n("limit_status = 'RED'"), "amber_desks": _n("limit_status = 'AMBER'"),
         "green_desks": _n("limit_status = 'GREEN'"),
     },
-    [
-        ("null_gross_exposure", "null gross_exposure found"), ("null_limit", "null limit found"),
-        ("null_utilisation", "null utilisation found"), ("null_limit_status", "null limit_status found"),
-        ("negative_gross_exposure", "negative gross exposure found"), ("non_positive_limit", "non-positive limit found"),
-        ("red_flag_mismatch", "RED status inconsistent with flags"),
-        ("amber_flag_mismatch", "AMBER status inconsistent with flags"),
-        ("green_flag_mismatch", "GREEN status inconsistent with flags"),
-        ("invalid_status_values", "invalid limit_status value found"),
-    ],
 )
 SQL["gold_summary"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT desk) AS unique_desks, max({d}) AS latest_date FROM {t}"
@@ -362,7 +319,7 @@ UNION ALL SELECT 'positions', strftime(generated_at, '%Y-%m-%d'), count(*) FROM
 UNION ALL SELECT 'desk_limits', CAST(approved_date AS VARCHAR), count(*) FROM limits GROUP BY ALL
 """
 SQL["validate_book"] = _gate(
-    "bronze_trades",
+    "validate_book", "bronze_trades",
     {
         "total_rows": "count(*)", "duplicate_trade_ids": "count(*) - count(DISTINCT trade_id)",
         "bad_asset_class": _n(f"asset_class IS NULL OR asset_class NOT IN {_FOUR_CLASSES}"),
@@ -373,14 +330,6 @@ SQL["validate_book"] = _gate(
         "equity_without_isin": _n("asset_class = 'Equity' AND isin IS NULL"),
         "desk_class_mismatch": _n(f"desk IN {_FOUR_DESKS} AND asset_class IS DISTINCT FROM replace(desk, ' Desk', '')"),
     },
-    [
-        ("duplicate_trade_ids", "duplicate trade_ids"), ("bad_asset_class", "unexpected asset_class"),
-        ("bad_direction", "unexpected direction"), ("bad_notional", "non-positive notional"),
-        ("bad_isin", "ISIN not of 12 characters"), ("bad_cusip", "CUSIP not of 9 characters"),
-        ("fx_with_isin", "FX position with ISIN"), ("fx_with_cusip", "FX position with CUSIP"),
-        ("equity_without_isin", "Equity position without ISIN"),
-        ("desk_class_mismatch", "asset class outside the desk's mandate".replace("'", "''")),
-    ],
 )
 SQL["book_profile"] = """
 SELECT desk, asset_class, instrument_type, count(trade_id) AS trades, count(isin) AS with_isin
