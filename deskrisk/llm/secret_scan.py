@@ -95,11 +95,12 @@ class Ledger:
         """Scan what the ledger lacks of these texts and rules, and append the findings."""
         keys = F.array(*[F.lit(r.key) for r in rules])
         known = self.read().groupBy("blob").agg(F.flatten(F.collect_list("results.rule")).alias("known"))
-        texts = docs.select(_blob(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        # Copies end before the join, each task's own before the shuffle: a hot text is one row of each task.
+        texts = docs.select(_blob(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).dropDuplicates(["blob"])
         todo = (
             texts.join(known, "blob", "left")
             .withColumn("todo", F.array_except(keys, F.coalesce("known", F.array().cast("array<string>"))))
-            .where("size(todo) > 0").select("blob", "text", "todo").dropDuplicates(["blob"])
+            .where("size(todo) > 0").select("blob", "text", "todo")
         )
         clean = F.when(F.col("text").rlike("[\u0001-\u0003]"), F.translate("text", _OPEN + _CUT + _CLOSE, "~~~")).otherwise(F.col("text"))
         found = [
