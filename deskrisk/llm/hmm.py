@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse
 from zlib import crc32
 
 import numpy as np
@@ -49,6 +50,14 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def _tokens_of(column: pa.Array) -> Iterator[list[bytes]]:
+    """The same for each text of a column, whose bytes are taken as they are."""
+    for data in column.cast(pa.binary()).to_pylist():
+        own = data.lower().split()
+        own.append(END)
+        yield own
+
+
 # ------------------------------------------------------------------ recursion
 
 
@@ -149,8 +158,8 @@ def token_counts(prepared: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: Counter = Counter()
-            for text in batch.column(0):
-                own.update(tokens(text.as_py()))
+            for words in _tokens_of(batch.column(0)):
+                own.update(words)
             yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())], ["token", "c"])
 
     parts = map_batches(prepared.where("not held").select("text"), run, "token binary, c bigint")
@@ -211,8 +220,8 @@ def _encoded(prepared: DataFrame, head: _Head) -> DataFrame:
         place, size = _places(head).get, head.size
         for batch in batches:
             found = []
-            for text in batch.column("text"):
-                own = [i if i is not None else size + crc32(w) % TAIL for w, i in ((w, place(w)) for w in tokens(text.as_py()))]
+            for words in _tokens_of(batch.column("text")):
+                own = [size + crc32(w) % TAIL if i is None else i for i, w in zip(map(place, words), words)]
                 found.append(np.array(own, np.uint32).tobytes())
             kept = [batch.column(c) for c in ("id", "held", "h", "g")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], ["id", "held", "h", "g", "seen"])
@@ -228,8 +237,8 @@ def _tail(prepared: DataFrame, head: _Head) -> DataFrame:
         place = _places(head)
         for batch in batches:
             texts, own_tokens, own_counts = [], [], []
-            for i, text in enumerate(batch.column("text")):
-                own = Counter(w for w in tokens(text.as_py()) if w not in place)
+            for i, words in enumerate(_tokens_of(batch.column("text"))):
+                own = Counter(filterfalse(place.__contains__, words))
                 texts += [i] * (len(own) + 1)
                 own_tokens += [None, *own.keys()]
                 own_counts += [1, *own.values()]
