@@ -14,8 +14,10 @@ or more different windows of e, as one window copied many times is no more evide
 A disclosing term is generalised to its first ``PREFIX`` code points where all words of that
 beginning taken together stay below the threshold, and else removed. Counts are of all documents.
 
-Spans are code points, end exclusive, leftmost and without overlap in each kind. Terms are marked
-in the windows of the entity they disclose, unless they overlap a span of a base kind.
+Spans are code points, end exclusive, leftmost and without overlap in each kind. A disclosing term
+is marked wherever it stands, in all documents, as it gives its entity away without the entity
+beside it; only places that overlap a span of a base kind are left to that. A term that discloses
+several entities is generalised if that is enough for all of them, and else removed.
 
 Defined results: a null text is the empty text; repeated rows give repeated results; null ids are
 kept; empty tables give none; the control characters used as marks count as one ordinary
@@ -38,6 +40,8 @@ CONTEXTS = 3
 THRESHOLD = 0.9
 SHORTEST_TERM = 3
 PREFIX = 3
+# Words placed at a time: bounds the arrays that grow word by word, however long a text is.
+BLOCK = 64
 
 _OPEN, _CLOSE = "\u0001", "\u0002"
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -91,6 +95,7 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), _digits),
 )
 TERM = len(KINDS)
+REMOVED = "[TERM]"
 NAMES = (*(k.name for k in KINDS), "term")
 
 
@@ -102,8 +107,8 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(_lowered(F.coalesce(text, F.lit(""))), _SEPARATOR + "+"), "")
 
 
-def _placed(piece: Column, start: Column) -> Column:
-    """The words of a short piece and where they are, given where the piece starts."""
+def _placed(pieces: Column, start: Column) -> Column:
+    """The words among a few ``pieces``, one separator apart, and where they are, given where the first starts."""
     none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
 
     def step(state: Column, word: Column) -> Column:
@@ -112,20 +117,24 @@ def _placed(piece: Column, start: Column) -> Column:
         return F.struct((state["at"] + F.length(word) + 1).alias("at"), found.alias("found"))
 
     first = F.struct(start.cast("long").alias("at"), none.alias("found"))
-    return F.aggregate(F.split(_lowered(piece), _SEPARATOR), first, step, lambda s: s["found"])
+    return F.aggregate(pieces, first, step, lambda s: s["found"])
+
+
+def _pieces(text: Column) -> Column:
+    return F.split(_lowered(text), _SEPARATOR)
 
 
 def _after(gap: Column, end: Column) -> Column:
     """Words that lie whole in the first ``CONTEXT`` code points of the text after a match."""
     near = F.left(gap, F.lit(CONTEXT + 1))
     whole = F.when(F.length(near) > CONTEXT, F.regexp_replace(near, f"{_WORD}$", "")).otherwise(near)
-    return _placed(whole, end)
+    return _placed(_pieces(whole), end)
 
 
 def _before(gap: Column, start: Column) -> Column:
     near = F.right(gap, F.lit(CONTEXT + 1))
     whole = F.when(F.length(near) > CONTEXT, F.regexp_replace(near, f"^{_WORD}", "")).otherwise(near)
-    return _placed(whole, start - F.length(whole))
+    return _placed(_pieces(whole), start - F.length(whole))
 
 
 def _matches(text: Column, kind: Kind, k: int) -> Column:
@@ -175,7 +184,7 @@ _MATCH = "struct<kind:int,start:bigint,end:bigint,entity:string,words:array<stru
 
 
 def protected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row``, ``id`` and ``matches``: the base spans of every row, with the windows around them.
+    """``row``, ``id``, ``matches`` and ``text``: the base spans of every row, with the windows around them.
 
     To be stored at once: ``row`` numbers the rows of this one evaluation.
     """
@@ -187,7 +196,7 @@ def protected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         for k, kind in enumerate(KINDS)
     ]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("text", clean)
-    return rows.select(F.monotonically_increasing_id().alias("row"), "id", F.concat(*found).alias("matches"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id", F.concat(*found).alias("matches"), "text")
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -198,6 +207,35 @@ def _pairs(found: DataFrame) -> DataFrame:
     return windows.select("row", "entity", "window", F.explode("words").alias("w")).select("row", "entity", "window", "w.*")
 
 
+def _blocks(pieces: Column) -> Column:
+    """``pieces`` in blocks of ``BLOCK``, each with the place its first piece starts at."""
+    none = F.array().cast("array<struct<start:bigint,pieces:array<string>>>")
+
+    def step(state: Column, k: Column) -> Column:
+        block = F.slice(state["all"], k * BLOCK + 1, F.lit(BLOCK))
+        here = F.struct(state["at"].alias("start"), block.alias("pieces"))
+        after = state["at"] + F.length(F.array_join(block, " ")) + 1
+        return F.struct(after.alias("at"), state["all"].alias("all"), F.array_append(state["found"], here).alias("found"))
+
+    first = F.struct(F.lit(0).cast("long").alias("at"), pieces.alias("all"), none.alias("found"))
+    return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / BLOCK).cast("int")), first, step, lambda s: s["found"])
+
+
+def _places(pieces: Column, told: Column) -> Column:
+    """Spans of the terms of ``told`` among all pieces of a text; a block without one is not gone through."""
+    none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
+
+    def in_block(b: Column) -> Column:
+        places = F.filter(_placed(b["pieces"], b["start"]), lambda w: F.array_contains(told["term"], w["term"]))
+        return F.when(F.arrays_overlap(b["pieces"], told["term"]), places).otherwise(none)
+
+    def span(w: Column) -> Column:
+        remedy = F.get(F.filter(told, lambda t: t["term"] == w["term"]), F.lit(0))["remedy"]
+        return F.struct(F.lit(TERM).alias("kind"), w["start"].alias("start"), w["end"].alias("end"), remedy.alias("remedy"))
+
+    return F.transform(F.flatten(F.transform(_blocks(pieces), in_block)), span)
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``term`` and ``n`` over all documents; combined map-side, so a frequent word is one row a task."""
     return docs.select(F.explode(_words(F.col(text_col))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
@@ -231,7 +269,7 @@ def disclosing(
 
     general = (F.length("term") > PREFIX) & (told("near_prefix", "n_prefix") < needed)
     return judged.where(told("n", "n_term") >= needed).select(
-        "entity", "term", F.when(general, F.concat("prefix", F.lit("*"))).otherwise("[TERM]").alias("remedy")
+        "entity", "term", F.when(general, F.concat("prefix", F.lit("*"))).otherwise(REMOVED).alias("remedy")
     )
 
 
@@ -245,9 +283,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 def _with_terms(work: Workspace, docs: DataFrame, found: DataFrame, text_col: str, threshold: float, contexts: int) -> DataFrame:
     terms = work.store(disclosing(work, docs, found, text_col, threshold, contexts), "terms")
     work.drop("counts", "seen")
-    marked = _pairs(found).join(terms, ["entity", "term"]).groupBy("row").agg(
-        F.collect_set(F.struct(F.lit(TERM).alias("kind"), "start", "end", "remedy")).alias("terms")
-    )
+    remedies = terms.groupBy("term").agg(F.max_by("remedy", F.col("remedy") == REMOVED).alias("remedy"))
+    words = found.select("row", F.explode(_words(F.col("text"))).alias("term"))
+    # Stored, so that its size is known before the texts are joined with it.
+    told = work.store(words.join(remedies, "term").groupBy("row").agg(F.collect_set(F.struct("term", "remedy")).alias("told")), "told")
+    joined = found.join(told, "row", "left").withColumn("pieces", F.when(F.col("told").isNotNull(), _pieces(F.col("text"))))
+    marked = joined.withColumn("terms", F.when(F.col("told").isNotNull(), _places(F.col("pieces"), F.col("told"))))
     base = F.transform(
         "matches",
         lambda m: F.struct(
@@ -259,7 +300,7 @@ def _with_terms(work: Workspace, docs: DataFrame, found: DataFrame, text_col: st
         F.coalesce("terms", F.array().cast("array<struct<kind:int,start:bigint,end:bigint,remedy:string>>")),
         lambda t: ~F.exists("matches", lambda m: (m["start"] < t["end"]) & (t["start"] < m["end"])),
     )
-    return found.join(marked, "row", "left").select("row", "id", F.array_sort(F.concat(base, alone)).alias("spans"))
+    return marked.select("row", "id", F.array_sort(F.concat(base, alone)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -310,7 +351,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", threshold: float = THRESHO
     numbered = work.store(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"), F.struct("*").alias("whole")), "rows"
     )
-    found = work.store(protected(numbered, "row", "text"), "found").select(F.col("id").alias("row"), "id", "matches")
+    found = work.store(protected(numbered, "row", "text"), "found").select(F.col("id").alias("row"), "id", "matches", "text")
     spans = _with_terms(work, numbered, found, "text", threshold, contexts).select("row", "spans")
     joined = numbered.join(spans, "row")
     rest = [F.col(f"whole.`{c}`") if c != text_col else _replaced(F.col("text"), F.col("spans")).alias(c) for c in docs.columns]

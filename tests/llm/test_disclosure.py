@@ -181,3 +181,24 @@ def test_long_texts_empty_table_and_hot_entity(spark, table):
     assert [r.n_email for r in rows] == [3000] * 3
     want, _ = expected([many] * 3)
     assert rows[0].spans.split(",") == want[0]
+
+
+def test_disclosing_terms_are_marked_wherever_they_stand(spark):
+    rows = [f"{FILLER[k]} from Zebulon zeb@mail.example.com about {FILLER[-k - 1]} " + "the of and " * 50 for k in range(5)]
+    rows.append(rows[0] + "😀é " + "word " * 600 + "zebulon, Zebulon" + " word" * 10)  # beyond the windows, and beyond one block
+    rows.append("Zebulon stands here without the address")
+    rows += ["zebulon", None, "", "xzebulon zebulonx", "x" * 5000 + " \x01ZEBULON\x02", "mail zebulon@other.example.org"]
+    _, told = expected(rows, threshold=0.5)
+    terms = {t for _, t in told}
+    assert "zebulon" in terms and "word" not in terms
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = disclosure.summarise(disclosure.find(df, threshold=0.5)).collect()
+    got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in found}
+    for i, text in enumerate(rows):
+        base = base_spans(text or "")
+        words = [m for m in re.finditer(WORD, lowered(text or "")) if m[0] in terms]
+        whole = [m for m in words if not any(m.start() < b[2] and b[1] < m.end() for b in base)]
+        assert got[i] == [f"term:{m.start()}:{m.end()}" for m in whole], i
+    assert got[6][0] == "term:0:7" and got[7] == ["term:0:7"] and not got[10] and got[11] and not got[12]
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(df, threshold=0.5).collect()}
+    assert not [i for i, t in clean.items() if re.search(r"\bzebulon\b", (t or "").lower())]
