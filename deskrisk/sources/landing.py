@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from deskrisk.functions import normalise_ticker
+from deskrisk.operators.scratch import together
 from deskrisk.sources.versions import EmptyLoadError, replace_table
 
 # Fixed format of a dated landing folder.
@@ -75,17 +77,21 @@ def read_landing(
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     """Header lines and the files that begin with each; files without a line have none.
 
-    The first line of a file is the first in its first block, so that no task needs a whole file.
-    What reaches the driver is a name and a line per file.
+    Of each file only the start is read, by a job of one task that ends at the first line, so that the
+    cost goes with the number of files and not with their size. What reaches the driver is a name and a
+    line per file.
     """
-    lines = spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-    )
-    first = lines.where("block = 0 AND length(trim(value)) > 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+    def first(path: str) -> Row | None:
+        # In the first block alone, as further blocks of a file are tasks of their own.
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        return lines.where("block = 0 AND length(trim(value)) > 0").head()
+
+    files = [unquote(f) for f in spark.read.text(list(paths)).inputFiles()]
+    rows = together({f: partial(first, f) for f in files}).values()
     found: dict[str, list[str]] = {}
-    for r in first.orderBy("file").collect():
-        found.setdefault(r.header.lstrip("\ufeff"), []).append(r.file)
+    for r in sorted((r for r in rows if r is not None), key=lambda r: r.file):
+        found.setdefault(r.value.lstrip("\ufeff"), []).append(r.file)
     return found
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from deskrisk.operators.files import Files
+from deskrisk.operators.scratch import open_files
 from deskrisk.sources.landing import DATED_GLOB, LINE, file_headers, header_columns, header_problem, read_by_header
 
 # The file source skips files older than this before the newest one it has seen.
@@ -123,10 +124,11 @@ def _ingest(
         observed = rows.observe(
             seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(LINE).isNotNull()).alias("rejects")
         )
-        (
-            observed.withColumn("_kept", F.col(LINE).isNull())
-            .write.mode("overwrite").partitionBy("_kept").parquet(f"{table}/_batch={batch}")
-        )
+        with open_files(session, 2):  # one of rows that fit, one of rejects
+            (
+                observed.withColumn("_kept", F.col(LINE).isNull())
+                .write.mode("overwrite").partitionBy("_kept").parquet(f"{table}/_batch={batch}")
+            )
         counts = {"rows": seen.get["rows"] - seen.get["rejects"], "rejects": seen.get["rejects"]}
         record = {"batch": batch, "checkpoint": checkpoint, "columns": grown.jsonValue(), **counts}
         files.write(f"{table}/{COMMITS}/{batch:012d}", json.dumps(record), replace=True)

@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from table_rows import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -334,3 +335,43 @@ def test_required_files_are_read_by_header_and_ragged_ones_refused(spark, tmp_pa
     path.write_text("currency,rate\nEUR,1.1\n")
     with pytest.raises(landing.HeaderError, match="rate_vs_usd"):
         landing.read_required(spark, str(path), fx)
+
+
+def _tasks(spark, action):
+    """What ``action`` returns, and the largest number of tasks of a stage it ran."""
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    result = action()
+    jobs = [tracker.getJobInfo(j) for j in set(tracker.getJobIdsForGroup(None)) - before]
+    return result, max(tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds if tracker.getStageInfo(s))
+
+
+def test_headers_take_the_start_of_a_file_alone(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("\n  \na,b\n" + "1,2\n" * 20_000)
+    (tmp_path / "other.csv").write_text("b,a\n1,2\n")
+    (tmp_path / "same.csv").write_text("\ufeffa,b\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\n \n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found, most = _tasks(spark, lambda: landing.file_headers(spark, [str(tmp_path / "big.csv")]))
+        assert list(found) == ["a,b"] and most == 1
+        every = landing.file_headers(spark, [str(tmp_path)])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {h: [os.path.basename(f) for f in files] for h, files in every.items()} == {"a,b": ["big.csv", "same.csv"], "b,a": ["other.csv"]}
+
+
+def test_rows_and_rejects_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    land(tmp_path / "in", 1, "A", *["2026-08-01,1,1,1,1,1,A,x", "2026-08-01,1,1,1,1,1,A,x,EXTRA"] * 5)
+    table, write, most = str(tmp_path / "t"), DataFrameWriter.parquet, []
+
+    def noted(self, path, **options):
+        most.append(self._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0"))
+        write(self, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    assert ingest_incremental(spark, str(tmp_path / "in"), PRICES, table, str(tmp_path / "progress")) == Loaded(5, 5)
+    assert most == ["2"] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+    assert read_rejects(spark, table).count() == 5 and read_ingested(spark, table).count() == 5
