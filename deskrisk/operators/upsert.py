@@ -103,7 +103,9 @@ def merge_into(
         raise ValueError(f"{partition_col} must be one of the merge keys")
     recover(spark, path)
     stage = f"{_stages(path)}/{uuid.uuid4().hex}"
-    source.write.parquet(f"{stage}/source")
+    existing = read_table(spark, path, source.schema)
+    # Into a new table the source goes as it is, so it is judged as it is written.
+    seen = stage_rows(source, f"{stage}/source", **(rules or {} if existing is None else {}))
     rows = spark.read.schema(source.schema).parquet(f"{stage}/source")
 
     twice = rows.groupBy(*keys).count().where("count > 1").limit(1)
@@ -120,19 +122,20 @@ def merge_into(
         drop_folder(spark, stage)
         return
 
-    merged = rows
-    existing = read_table(spark, path, source.schema)
+    staged = "source"
     if existing is not None:
+        staged = "merged"
         # The span prunes partitions as it is planned, the join the dates inside it that have no rows.
         dates = rows.select(partition_col).distinct()
         touched = existing.where(F.col(partition_col).between(first, last)).join(dates, partition_col, "left_semi")
-        merged = merge_frames(touched.select(*source.columns), rows, keys, update_cols, newest_by)
+        rows = merge_frames(touched.select(*source.columns), rows, keys, update_cols, newest_by)
+        seen = stage_rows(rows, f"{stage}/merged", **(rules or {}))
     try:
-        refuse(stage_rows(merged, f"{stage}/merged", **(rules or {})), path)
+        refuse(seen, path)
     except QualityError:
         drop_folder(spark, stage)
         raise
-    record = {"columns": merged.schema.jsonValue(), "partition": partition_col}
+    record = {"columns": rows.schema.jsonValue(), "partition": partition_col, "staged": staged}
     Files(spark).write(f"{stage}/{_COMMIT}", json.dumps(record))
     _publish(spark, path, stage, record)
 
@@ -145,7 +148,7 @@ def _publish(spark: SparkSession, path: str, stage: str, record: dict) -> None:
     """Replace the dates of the staged rows in the table; doing so again gives the same table."""
     (
         spark.read.schema(StructType.fromJson(record["columns"]))
-        .parquet(f"{stage}/merged")
+        .parquet(f"{stage}/{record.get('staged', 'merged')}")
         .hint("rebalance", record["partition"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -45,13 +45,14 @@ def _pick(column: Column, pairs: dict, otherwise) -> Column:
 class Sample:
     """Bronze and silver views of the tables in ``folder``.
 
-    ``pieces`` hashes the big table before it is joined: for a sample that comes as one file,
-    which one task would read, join and sort. Without it the scan is left as it is.
+    ``spread`` hashes the big table before it is joined: for a sample that comes as one file,
+    which one task would read, join and sort. Spark sizes the parts, so that they do not grow with
+    the table. Without it the scan is left as it is.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, pieces: int | None = None):
+    def __init__(self, spark: SparkSession, folder: str, spread: bool = False):
         self.spark = spark
-        self.pieces = pieces
+        self.spread = spread
         self.folder = folder.rstrip("/")
 
     @property
@@ -65,7 +66,7 @@ class Sample:
     def lineitem(self) -> DataFrame:
         """The big table; every view below does its work on it."""
         rows = self.table("lineitem")
-        return rows if self.pieces is None else rows.repartition(self.pieces, "l_orderkey", "l_partkey")
+        return rows.repartition("l_orderkey", "l_partkey") if self.spread else rows
 
     @staticmethod
     def _brand() -> tuple[Column, Column]:

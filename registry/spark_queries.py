@@ -40,8 +40,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def _sample(spark: SparkSession, folder: str) -> Sample:
-    """The sample's tables are one file each, so the big one is spread over the cores."""
-    return Sample(spark, folder, pieces=spark.sparkContext.defaultParallelism)
+    """The sample's tables are one file each, so the big one is spread over tasks."""
+    return Sample(spark, folder, spread=True)
 
 
 def query(function: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:

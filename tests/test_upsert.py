@@ -154,3 +154,16 @@ def test_lake_refuses_drift(spark, tmp_path):
     assert lake.read("risk_summary").isEmpty() and lake.find("risk_summary") is None
     with pytest.raises(SchemaDriftError, match="missing"):
         lake.merge("risk_summary", spark.range(1).select(F.lit("D").alias("desk")))
+
+
+def test_a_new_table_is_written_from_the_source_as_staged(spark, tmp_path, monkeypatch):
+    path, staged = str(tmp_path / "t"), tmp_path / "t__stage"
+    keys = (["d", "k"], None, "d")
+    with pytest.raises(QualityError, match="negative: 1"):
+        merge_into(spark, path, table(spark, (D1, "a", -1.0, 9.0)), *keys, rules={"negative": F.count_if(F.col("v") < 0)})
+    assert read_table(spark, path) is None and not list(staged.glob("*"))
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "_publish", lambda *_: None)  # a run that ends after its commit
+        merge_into(spark, path, table(spark, (D1, "a", 1.0, 2.0)), *keys)
+    assert [p.name for p in staged.glob("*/*") if p.is_dir()] == ["source"]  # one copy
+    assert recover(spark, path) == 1 and values(spark.read.parquet(path)) == [(D1, "a", 1.0, 2.0)]
