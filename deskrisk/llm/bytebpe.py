@@ -86,9 +86,6 @@ class RankQueue:
         return positions
 
 
-_NONE = (np.empty(0, np.int64), np.empty(0, np.int64))
-
-
 @dataclass
 class _Symbols:
     """A linked list of symbols: token, neighbours, and rank of the merge with the next one (or -1)."""
@@ -106,12 +103,17 @@ def _by_rank(ranks: np.ndarray) -> dict[int, list[int]]:
     return dict(zip(found.tolist(), map(np.ndarray.tolist, np.split(order, starts[1:])), strict=False))
 
 
-def _partners(pairs: list[tuple[int, int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each token, the tokens it merges with in ascending order, and the ranks of the merges."""
-    found: dict[int, list[tuple[int, int]]] = {}
-    for own, other, rank in sorted(pairs):
-        found.setdefault(own, []).append((other, rank))
-    return {own: tuple(np.array(x) for x in zip(*rows, strict=True)) for own, rows in found.items()}
+class _Partners:
+    """For each token, the tokens it merges with in ascending order, and the ranks of the merges: slices of two arrays."""
+
+    def __init__(self, own: np.ndarray, other: np.ndarray, rank: np.ndarray, size: int) -> None:
+        order = np.lexsort((other, own))
+        self.other, self.rank = other[order], rank[order]
+        self.start = np.searchsorted(own[order], np.arange(size + 1))
+
+    def of(self, token: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.start[token], self.start[token + 1])
+        return self.other[part], self.rank[part]
 
 
 class Codec:
@@ -123,30 +125,28 @@ class Codec:
         self.bytes_of = {r: token for token, r in self.rank.items()}
         self.digits = {r: str(r) for r in self.bytes_of}
         self.byte_ids = np.array([self.rank[bytes([b])] for b in range(256)])
-        # Merges (left, right, rank): every way to cut a token into two tokens.
-        pairs = [
-            (self.rank[token[:cut]], self.rank[token[cut:]], rank)
-            for token, rank in self.rank.items()
-            for cut in range(1, len(token))
-            if token[:cut] in self.rank and token[cut:] in self.rank
-        ]
-        self.right_of = _partners(pairs)
-        self.left_of = _partners([(right, left, rank) for left, right, rank in pairs])
+        # Merges (left, right, rank): every way to cut a token into two tokens. Held in arrays, as every worker has them.
+        flat = array("q")
+        for token, rank in self.rank.items():
+            for cut in range(1, len(token)):
+                left, right = self.rank.get(token[:cut]), self.rank.get(token[cut:])
+                if left is not None and right is not None:
+                    flat.extend((left, right, rank))
+        left, right, merged = np.frombuffer(flat, np.int64).reshape(-1, 3).T if len(flat) else np.empty((3, 0), np.int64)
+        self.right_of = _Partners(left, right, merged, self.size)
+        self.left_of = _Partners(right, left, merged, self.size)
         # Tokens that can merge further at a rank below their own.
         self.falls = np.zeros(self.size, bool)
-        for left, right, rank in pairs:
-            self.falls[left] |= rank < left
-            self.falls[right] |= rank < right
+        self.falls[left[merged < left]] = True
+        self.falls[right[merged < right]] = True
         self.find = regex.compile(pattern)
         # Packed ids (four bytes each) by piece.
         self.known: dict[str, bytes] = {}
         # Rank of the merge of two bytes, by their ids; -1 where there is none.
         most = self.byte_ids.max() + 1
         self.byte_pairs = np.full((most, most), -1)
-        single = set(self.byte_ids.tolist())
-        for left, right, rank in pairs:
-            if left in single and right in single:
-                self.byte_pairs[left, right] = rank
+        single = np.isin(left, self.byte_ids) & np.isin(right, self.byte_ids)
+        self.byte_pairs[left[single], right[single]] = merged[single]
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pattern's matches, in lists of bounded length."""
@@ -157,12 +157,12 @@ class Codec:
         while part := [m.group() for m in islice(matches, PIECES_AT_ONCE)]:
             yield part
 
-    def learn(self, parts: list[list[str]]) -> None:
+    def learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces that are not known yet."""
-        missing = set().union(*parts).difference(self.known)
+        missing = set(pieces).difference(self.known)
         if len(self.known) + len(missing) > REMEMBERED_PIECES:
             self.known.clear()
-            missing = set().union(*parts)
+            missing = set(pieces)
         waiting, held = [], 0
         for piece in missing:
             data = piece.encode()
@@ -223,7 +223,7 @@ class Codec:
         state.before[following[linked]] = at[linked]
         state.rank[at] = -1
         for side, table in ((linked, self.right_of), (state.before[at] >= 0, self.left_of)):
-            partners, ranks = table.get(rank, _NONE)
+            partners, ranks = table.of(rank)
             own = at[side] if table is self.right_of else state.before[at[side]]
             if not len(partners):
                 state.rank[own] = -1
@@ -245,7 +245,7 @@ class Codec:
     def packed(self, text: str | None) -> Iterator[np.ndarray]:
         """The ids of a text, in arrays of bounded length."""
         for part in self.pieces(text or ""):
-            self.learn([part])
+            self.learn(part)
             yield np.frombuffer(b"".join(map(self.known.__getitem__, part)), np.uint32)
 
     def encode(self, text: str | None) -> list[int]:
@@ -253,8 +253,10 @@ class Codec:
 
     def encode_together(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text; what is new in them is merged in one queue."""
-        parts = [self.find.findall(text) for text in texts]
-        self.learn(parts)
+        # Every distinct piece is held once, however often it occurs.
+        shared: dict[str, str] = {}
+        parts = [list(map(shared.setdefault, part, part)) for part in map(self.find.findall, texts)]
+        self.learn(shared)
         for part in parts:
             yield np.frombuffer(b"".join(map(self.known.__getitem__, part)), np.uint32)
 

@@ -400,3 +400,20 @@ def test_the_ledger_scans_only_what_it_has_not_seen(spark, docs, tmp_path):
     latest = ledger.read().select(F.explode("results.rule").alias("rule"), "blob")
     assert latest.groupBy("rule", "blob").count().where("count > 1").count() == 0
     assert latest.where("rule = 'assign:2'").count() == latest.where("rule = 'hex:1'").count() == m
+
+
+def test_pieces_are_held_once_and_merges_in_arrays():
+    from deskrisk.llm.settings import vocabulary
+
+    path, pattern = vocabulary()
+    with open(path, "rb") as file:
+        codec = bytebpe.Codec(file.read(), pattern)
+    partners, ranks = codec.right_of.of(codec.rank[b"t"])
+    want = sorted((codec.rank[t[1:]], r) for t, r in codec.rank.items() if len(t) > 1 and t[:1] == b"t" and t[1:] in codec.rank)
+    assert list(zip(partners.tolist(), ranks.tolist(), strict=True)) == want
+    seen, learn = [], codec.learn
+    codec.learn = lambda pieces: (seen.append(list(pieces)), learn(seen[-1]))
+    texts = ["one wordx one wordx"] * 50 + ["one"]
+    ids = list(codec.encode_together(texts))
+    assert len(seen) == 1 and len(seen[0]) == len(set(seen[0])) < 6
+    assert codec.decode(ids[7].tolist()) == texts[7].encode() and [i.tolist() for i in ids] == [codec.encode(t) for t in texts]
