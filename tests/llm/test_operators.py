@@ -157,6 +157,22 @@ def test_suffixes_equal_brute_force(docs, empty, by_id):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_suffix_passes_go_by_slices_that_hold_every_window_once(spark, docs, monkeypatch):
+    # On disk at a time: the rows of one slice, which were all windows at once.
+    passes, shared = [], suffixes._shared
+    monkeypatch.setattr(suffixes, "_shared", lambda rows, key: passes.append((key, rows.count())) or shared(rows, key))
+    work, every = Workspace(spark, "test"), []
+    for slices in (suffixes.SLICES, 1, suffixes.SPAN + 1):
+        monkeypatch.setattr(suffixes, "SLICES", slices)
+        passes.clear()
+        ranges = suffixes.repeated_ranges(docs, work, "doc_id", "text")
+        sizes = [n for key, n in passes if key == ["h", "g"]]
+        every.append((sum(sizes), {tuple(r) for r in ranges.collect()}))
+        assert len(sizes) == slices and max(sizes) <= max(0.6, 1 / slices) * sum(sizes)
+        work = Workspace(spark, "test")
+    assert every[0][0] and every[0] == every[1] == every[2]
+
+
 def test_hmm_base_figures_and_exact_likelihood(docs, empty, corpus, monkeypatch):
     monkeypatch.setattr(hmm, "HEAD", 300)
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
