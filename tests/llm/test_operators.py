@@ -121,6 +121,14 @@ def test_lines_of_an_id_with_several_texts_stay_apart(spark):
     assert texts == [(0, "a"), (1, "a"), (2, "b"), (2, "c\nd"), (2, "c\nd"), (3, "")]
 
 
+def test_the_set_of_a_line_is_built_once(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_rarity", lambda texts: F.array(F.lit(0).cast("tinyint")))
+    rows = [(1, "a b\n\n  \n\tb"), (2, " "), (3, "")]
+    lines = line_dedup._lines(line_dedup._texts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    assert sorted((r.id, r.at, r.n) for r in lines.collect()) == [(1, 0, 2), (1, 3, 1)]  # a tab is no blank
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("array_distinct(") == 1
+
+
 def test_line_classes_and_links_reach_all_documents(spark):
     a, b = [f"a{k}" for k in range(10)], [f"b{k}" for k in range(10)]
     near = lambda w, k: " ".join([*w[:9], f"other{k}"])
