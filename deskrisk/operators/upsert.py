@@ -135,6 +135,8 @@ def merge_into(
     except QualityError:
         drop_folder(spark, stage)
         raise
+    if staged != "source":
+        drop_folder(spark, f"{stage}/source")  # the merged rows hold it
     record = {"columns": rows.schema.jsonValue(), "partition": partition_col, "staged": staged}
     Files(spark).write(f"{stage}/{_COMMIT}", json.dumps(record))
     _publish(spark, path, stage, record)

@@ -68,6 +68,14 @@ class Sample:
         rows = self.table("lineitem")
         return rows.repartition("l_orderkey", "l_partkey") if self.spread else rows
 
+    def _with_orders(self) -> DataFrame:
+        """The big table with its orders; hashed ahead only where the join would not shuffle it."""
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+        size = int(str(orders._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        small = size <= self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        rows = self.lineitem if small else self.table("lineitem")
+        return rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
     @staticmethod
     def _brand() -> tuple[Column, Column]:
         number = F.substring("p_brand", 7, 10)
@@ -111,7 +119,7 @@ class Sample:
         regions = {"ASIA": "JPY", "EUROPE": "EUR", "MIDDLE EAST": "GBP", "AMERICA": "AUD"}
         digest = F.upper(F.md5(trade_id))
         joined = (
-            self.lineitem.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            self._with_orders()
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from deskrisk.functions import normalise_ticker, trade_noise
 from deskrisk.operators import checks, merge_frames, merge_into, settle
 from deskrisk.operators import schema_guard as guard
-from deskrisk.operators.scratch import scratch_dir
+from deskrisk.operators.scratch import drop_folder, released_shuffles, scratch_dir, scratch_of_run
 from deskrisk.operators.upsert import SchemaDriftError
 from deskrisk.plans import gates, incremental
 from deskrisk.plans.exposure import breach_log_step as step_breaches
@@ -305,10 +305,11 @@ def _lake(s: Sample) -> Lake:
 
 
 def _land(s: Sample, lake: Lake, table: str, rows: DataFrame, part: str) -> None:
-    """One more landing file set for ``table``, ingested."""
+    """One more landing file set for ``table``, ingested and then removed, as the table holds its rows."""
     folder = f"{lake.root}/landing/{table}"
     rows.write.option("header", True).csv(f"{folder}/{part}")
     ingest_evolving(s.spark, folder, BRONZE[table], lake.path(table), f"{lake.root}/progress/{table}", pattern="*/*.csv")
+    drop_folder(s.spark, f"{folder}/{part}")
 
 
 @query
@@ -329,15 +330,18 @@ def prices_incremental(s: Sample) -> DataFrame:
 def trades_incremental(s: Sample) -> DataFrame:
     """All trades, then half of them again with a newer stamp, the rest with an older one: only the newer count."""
     lake, names = _lake(s), [f.name for f in BRONZE["positions"] if f.name not in landing.AUDIT]
-    held = settle(s.positions_unpriced, "trades").withColumn("generated_at", F.lit("2001-06-01"))
-    lacking = {n: F.lit(None).cast("string") for n in names if n not in held.columns}
-    trades = held.withColumns(lacking).select(*names)
     even = F.substring("trade_id", -1, 1).isin("0", "2", "4", "6", "8")
-    again = trades.withColumns(
-        {"notional": F.col("notional") * 2, "generated_at": F.when(even, "2001-07-01").otherwise("2001-05-01")}
-    )
-    for part, rows in (("a", trades), ("b", again)):
-        _land(s, lake, "positions", rows, part)
+    with released_shuffles(s.spark):
+        with scratch_of_run(s.spark):
+            held = settle(s.positions_unpriced, "trades").withColumn("generated_at", F.lit("2001-06-01"))
+            lacking = {n: F.lit(None).cast("string") for n in names if n not in held.columns}
+            trades = held.withColumns(lacking).select(*names)
+            again = trades.withColumns(
+                {"notional": F.col("notional") * 2, "generated_at": F.when(even, "2001-07-01").otherwise("2001-05-01")}
+            )
+            _land(s, lake, "positions", trades, "a")
+            incremental.take_trades(lake, buckets=8)
+            _land(s, lake, "positions", again, "b")
         incremental.take_trades(lake, buckets=8)
     rates = s.fx_rates
     enriched = enrich(lake.read("trades_latest"), rates, None, s.run_date)

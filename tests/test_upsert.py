@@ -167,3 +167,13 @@ def test_a_new_table_is_written_from_the_source_as_staged(spark, tmp_path, monke
         merge_into(spark, path, table(spark, (D1, "a", 1.0, 2.0)), *keys)
     assert [p.name for p in staged.glob("*/*") if p.is_dir()] == ["source"]  # one copy
     assert recover(spark, path) == 1 and values(spark.read.parquet(path)) == [(D1, "a", 1.0, 2.0)]
+
+
+def test_a_merge_keeps_its_rows_staged_once_while_it_publishes(spark, tmp_path, monkeypatch):
+    # The source stayed beside the merged rows, which hold it.
+    path, staged, publish = str(tmp_path / "t"), [], upsert._publish
+    monkeypatch.setattr(upsert, "_publish", lambda s, p, stage, record: (staged.append(Files(s).names(stage)), publish(s, p, stage, record)))
+    for value in (1.0, 2.0):
+        merge_into(spark, path, table(spark, (D1, "a", value, value)), ["d", "k"], None, "d")
+    assert staged == [["_COMMITTED", "source"], ["_COMMITTED", "merged"]]
+    assert values(spark.read.parquet(path)) == [(D1, "a", 2.0, 2.0)]
