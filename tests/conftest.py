@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from deskrisk.operators.scratch import scratch_of_run  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,6 +32,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def scratch(spark):
+    """What a module settles goes with it, so that no other finds it in the scratch folder they share."""
+    with scratch_of_run(spark):
+        yield
+
+
 @pytest.fixture(scope="session")
 def day():
     return F.lit(date(2026, 8, 3))
